@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import components, tokens
+from cohortloom.llm import canonical, components, tokens, variants
 from cohortloom.session import table
 
 QUERIES = {
+    "p3_found": lambda spark, d: canonical.typed_products(table(spark, d, "clinical_trials"), table(spark, d, "harmonized_drug_queries"), table(spark, d, "drug_reference")),
+    "p5_found": lambda spark, d: variants.sponsor_pairs(table(spark, d, "enriched_trials")),
     "p6_found": lambda spark, d: components.mention_groups(table(spark, d, "trial_interventions"), table(spark, d, "intervention_links")),
     "p7_ids": lambda spark, d: tokens.token_ids(table(spark, d, "documents")),
 }
