@@ -22,7 +22,7 @@ NGRAM = 3
 #: Least cosine of a candidate pair; the join is exact above it.
 COSINE = 0.25
 #: Least average similarity at which two clusters are joined; pairs that fail threshold or exact check count as 0.
-LINKAGE = 0.3
+LINKAGE = 0.2
 #: Weight of n-grams of words that name a kind of organisation or a given name, against 1 for the name itself.
 COMMON_WEIGHT = 0.3
 
@@ -99,6 +99,9 @@ def parse(spelling: str) -> dict:
             kinds += k
         elif t not in LEGAL:
             rest.append(t)
+    initials = [t for t in tokens if t in LEGAL and len(t) == 2]
+    if not kinds and len(rest) == 1 and initials and len(tokens) == 2:
+        rest = tokens  # "Surname AG": initials, as companies without a word for their kind have no legal form either
     legal = len(rest) + len(kinds) < len(tokens)
     rest = rest or tokens
     short = [t for t in rest if len(t) <= 2]
