@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import canonical, components, linkage, tokens, variants
+from cohortloom.llm import canonical, components, linkage, packing, reading, tokens, variants
 from cohortloom.session import table
 
 QUERIES = {
@@ -12,6 +12,10 @@ QUERIES = {
     "p5_found": lambda spark, d: variants.sponsor_pairs(table(spark, d, "enriched_trials")),
     "p6_found": lambda spark, d: components.mention_groups(table(spark, d, "trial_interventions"), table(spark, d, "intervention_links")),
     "p7_ids": lambda spark, d: tokens.token_ids(table(spark, d, "documents")),
+    "p8_windows": lambda spark, d: packing.packed_windows(table(spark, d, "documents"), table(spark, d, "context_windows")),
+    "p8_fill": lambda spark, d: packing.fill_report(packing.packed_windows(table(spark, d, "documents"), table(spark, d, "context_windows")), table(spark, d, "context_windows")),
+    "p9_found": lambda spark, d: reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")).select("doc_id", "reading_level"),
+    "p9_profile": lambda spark, d: reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")),
 }
 
 SQL = {
