@@ -9,18 +9,24 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-HIT = "has_population_restriction boolean, population string, is_inclusion_criterion boolean, evidence_span string, reasoning string"
+from pyspark.sql import types as T
+
+HIT = T.StructType(
+    [
+        T.StructField("has_population_restriction", T.BooleanType()), T.StructField("population", T.StringType()), T.StructField("is_inclusion_criterion", T.BooleanType()),
+        T.StructField("evidence_span", T.StringType()), T.StructField("reasoning", T.StringType()),
+    ]
+)
 _HEADER = re.compile(r"^\s*(?:\d+(?:\.\d+)*\s+)?[A-Z][A-Z /&,()'-]{3,}\s*:?\s*$")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compatible_lower(s: pd.Series) -> pd.Series:
     """Unicode compatibility form (NFKC), lower case, single spaces; null stays null."""
     return s.map(lambda x: None if x is None else re.sub(r"\s+", " ", unicodedata.normalize("NFKC", x).strip().lower()))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compatible_decomposed(s: pd.Series) -> pd.Series:
     """Compatibility decomposition (NFKD) in lower case with single spaces."""
     return s.map(lambda x: None if x is None else re.sub(r"\s+", " ", unicodedata.normalize("NFKD", x).strip().lower()))
@@ -46,7 +52,7 @@ def section_after(name: str, least: int = 100) -> Callable[[Column], Column]:
             best = max(best, found, key=len)
         return best if len(best) > least else None
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(longest)
 
@@ -76,7 +82,7 @@ def population_model(model: Callable[[str | None], dict] = no_restriction) -> Ca
 
 def with_model_cache(texts: DataFrame, cache: DataFrame, model: Callable[[str | None], dict] = no_restriction) -> DataFrame:
     """(nct_id, hit): cached results where there are any, the model only for the rest."""
-    hit = F.struct(*[F.col(c.split()[0]) for c in HIT.split(", ")]).alias("hit")
+    hit = F.struct(*HIT.fieldNames()).alias("hit")
     known = texts.select("nct_id").join(cache, "nct_id").select("nct_id", hit)
     missing = texts.join(cache.select("nct_id"), "nct_id", "left_anti").select("nct_id", population_model(model)(F.col("text")).alias("hit"))
     return known.unionByName(missing)

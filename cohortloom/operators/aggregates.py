@@ -90,10 +90,10 @@ def source_confidence(sources: Column, *, rxcui: Column, brands: Column, generic
     return F.least(score.cast("double"), F.lit(100.0))
 
 
-def weighted_confidence(sources: Column, critical: dict[Column, float], additional: Sequence[Column], of: float = 4.0) -> Column:
+def weighted_confidence(sources: Column, critical: Sequence[tuple[Column, float]], additional: Sequence[Column], of: float = 4.0) -> Column:
     """0 to 1: sources 40 %, weighted critical fields 40 %, share of additional fields 20 %; two decimals."""
     has = lambda c: F.coalesce(c, F.lit(False)).cast("double")
-    crit = sum((has(c) * w for c, w in critical.items()), F.lit(0.0)) / float(sum(critical.values()))
+    crit = sum((has(c) * w for c, w in critical), F.lit(0.0)) / float(sum(w for _, w in critical))
     add = sum((has(c) for c in additional), F.lit(0.0)) / float(len(additional))
     return F.round(F.least(sources / F.lit(of) * 0.4 + crit * 0.4 + add * 0.2, F.lit(1.0)), 2)
 
@@ -112,9 +112,11 @@ def name_groups(names: DataFrame) -> DataFrame:
 
 def run_summary(trials: DataFrame, arms: DataFrame, flags: Sequence[str], distribution: str) -> DataFrame:
     """(measure, value): rows, distinct trials, set flags, and the distribution of one column (nulls not counted)."""
-    head = arms.agg(F.count(F.lit(1)).alias("arms"), F.count_distinct("nct_id").alias("arm_trials"), *[F.count_if(F.col(f)).alias(f) for f in flags]).crossJoin(trials.agg(F.count(F.lit(1)).alias("trials")))
-    cols = ["trials", "arms", "arm_trials", *flags]
-    tall = head.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in cols])).alias("x")).select("x.*")
+    counts = arms.agg(F.count(F.lit(1)).alias("arms"), F.count_distinct("nct_id").alias("arm_trials"), *[F.count_if(F.col(f)).alias(f) for f in flags])
+    tall = None
+    for one in (trials.agg(F.count(F.lit(1)).alias("trials")), counts):
+        part = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in one.columns])).alias("x")).select("x.*")
+        tall = part if tall is None else tall.unionByName(part)
     return tall.unionByName(trials.where(F.col(distribution).isNotNull()).groupBy(F.concat(F.lit(f"{distribution}="), F.col(distribution)).alias("measure")).agg(F.count(F.lit(1)).alias("value")))
 
 

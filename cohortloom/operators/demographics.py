@@ -14,6 +14,8 @@ from cohortloom.operators.joins import small
 
 #: share of one group from which a cohort counts as uniform
 THRESHOLD = 0.95
+#: The country list becomes a literal of the plan; there are fewer countries than this.
+MAX_COUNTRIES = 500
 # fixed values: measure titles, tiers, and the country behind a registry
 RACE_TITLES = ("Race", "Race (NIH-OMB)", "Race/Ethnicity", "Race and Ethnicity", "Race and Ethnicity, Customized")
 COUNTRY_TITLES = ("Country of Enrollment", "Region of Enrollment", "Country")
@@ -75,14 +77,19 @@ def stated_by_model(trials: DataFrame, model: Callable) -> DataFrame:
 
 def by_location(trials: DataFrame, countries: DataFrame) -> DataFrame:
     """C1 one site country, C2 several of one region, C3 the sponsor's country where there are no sites. Countries on the exclusion list, or unknown, give none."""
-    dim = countries.select(F.lower("country_name").alias("k"), F.struct("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list").alias("d"))
-    table = dim.agg(F.map_from_entries(F.array_agg(F.struct("k", "d"))).alias("m"))  # one row of a small reference list
-    t = trials.crossJoin(F.broadcast(table))
+    listed = countries.select("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list").limit(MAX_COUNTRIES + 1).collect()
+    if len(listed) > MAX_COUNTRIES:
+        raise ValueError(f"more than {MAX_COUNTRIES} countries")
+    known = {r["country_name"].lower(): r for r in reversed(listed)}
+    entries = [x for k, r in known.items() for x in (F.lit(k), F.struct(*[F.lit(r[c]).alias(c) for c in ("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list")]))]
+    if not entries:
+        return trials.select("nct_id", *_row("C1", None, F.lit(None), None, F.lit(None).cast("string"), True)).limit(0)
+    dim, t = F.create_map(*entries), trials
     sites = F.coalesce(F.col("site_countries"), F.array().cast("array<string>"))
-    found = F.transform(sites, lambda c: F.try_element_at(F.col("m"), F.lower(c)))
+    found = F.transform(sites, lambda c: F.try_element_at(dim, F.lower(c)))
     ok = F.forall(found, lambda d: d.isNotNull() & ~d["in_diverse_exclusion_list"])
     one, regions = F.try_element_at(found, F.lit(1)), F.array_distinct(F.transform(found, lambda d: d["region"]))
-    sponsor = F.try_element_at(F.col("m"), F.lower("lead_sponsor_country"))
+    sponsor = F.try_element_at(dim, F.lower("lead_sponsor_country"))
     n = F.size(sites)
     hit = (
         F.when((n == 1) & ok, F.struct(F.lit("C1").alias("t"), F.lit("medium").alias("c"), one["dominant_ancestry"].alias("p"), F.concat(F.lit("site country: "), one["country_name"]).alias("e")))

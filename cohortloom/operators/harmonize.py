@@ -40,7 +40,7 @@ def newest_labels(applications: DataFrame) -> DataFrame:
 
 def ingredient_columns(products: DataFrame) -> DataFrame:
     """Orange-book products with ingredients as a list and dosage form and route apart."""
-    form = F.split("DF;Route", ";")
+    form = F.split(F.col("`DF;Route`"), ";")
     return products.select("*", split_list(F.col("Ingredient"), ";").alias("ingredients"), F.trim(F.get(form, 0)).alias("dosage_form"), F.trim(F.get(form, 1)).alias("route"))
 
 

@@ -83,9 +83,11 @@ def scd2_upsert(history: DataFrame | None, staged: DataFrame, key: str, tracked:
     else:
         out = made.select(*keep)
     fresh = made.where("not _was")
-    counts = fresh.agg(F.count_if(F.col("change_type") == "INSERT").alias("inserted"), F.count_if(F.col("change_type") == "UPDATE").alias("updated"))
-    total = staged.agg(F.count_if(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != "")).alias("good"), F.count_if(F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == "")).alias("errors"))
-    stats = counts.crossJoin(total).select("inserted", "updated", (F.col("good") - F.col("inserted") - F.col("updated")).alias("unchanged"), "errors")
+    blank = F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == "")
+    counts = fresh.select((F.col("change_type") == "INSERT").cast("long").alias("i"), (F.col("change_type") == "UPDATE").cast("long").alias("u"), F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("e"))
+    total = staged.select(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("u"), (~blank).cast("long").alias("g"), blank.cast("long").alias("e"))
+    n = {c: F.coalesce(F.sum(c), F.lit(0)) for c in "iuge"}
+    stats = counts.unionByName(total).agg(n["i"].alias("inserted"), n["u"].alias("updated"), (n["g"] - n["i"] - n["u"]).alias("unchanged"), n["e"].alias("errors"))
     log = fresh.select(F.col(key).alias("trial_id"), "version", "change_type", "changed_columns", F.col("valid_from").alias("changed_at"))
     return Upsert(out, stats, log)
 

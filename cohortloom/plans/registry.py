@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.plans import data_processing
+from cohortloom.plans import data_processing, reference
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**data_processing.QUERIES}
-SQL: dict[str, str] = {**data_processing.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**data_processing.QUERIES, **reference.QUERIES}
+SQL: dict[str, str] = {**data_processing.SQL, **reference.SQL}
