@@ -20,7 +20,7 @@ from cohortloom.session import materialize
 SHARD = 4096
 #: Hashed terms; bounds the table of document frequencies that every task gets.
 TERMS = 1 << 18
-#: Most windows considered on the server side of a fixed table.
+#: The table of windows is fixed and goes to every task; more rows than this are refused.
 MAX_WINDOWS = 1000
 K1, B = 1.2, 0.75
 #: Share of a capacity that may stay free without another search.
@@ -213,4 +213,4 @@ def fill_report(placed: DataFrame, windows: DataFrame) -> DataFrame:
     per = placed.groupBy("window_id").agg(
         F.count_distinct("container_id").alias("containers"), F.sum("n_tokens").alias("tokens"), F.count_distinct(F.when(F.col("piece") > 0, F.col("doc_id"))).alias("split_documents")
     )
-    return per.join(F.broadcast(windows.limit(MAX_WINDOWS)), "window_id").select("window_id", "capacity_tokens", "containers", "tokens", "split_documents", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 4).alias("filled"))
+    return per.join(windows.dropDuplicates(["window_id"]), "window_id").select("window_id", "capacity_tokens", "containers", "tokens", "split_documents", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 4).alias("filled"))
