@@ -19,7 +19,7 @@ def canonical_date(c: Column) -> Column:
     Dates with slashes have the month or the year first; two-digit years are 20xx; a time of day is dropped. Null
     and blank give null. Text that is no date comes back in lower case with single spaces, so it still compares.
     """
-    s = F.trim(F.regexp_replace(F.lower(c), r"[\s ]+", " "))
+    s = F.trim(F.regexp_replace(F.lower(c), r"[\s\u00a0]+", " "))
     s = F.regexp_replace(s, r"(\d)[t ]\d{1,2}:\d{2}.*$", "$1")
 
     def p(pattern: str, group: int) -> Column:
