@@ -240,7 +240,7 @@ def match_values(values: DataFrame, reference: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.string(), pa.int32()))], names=["entered_value", "canonical_name", "matched_key", "distance"]) if out else pa.RecordBatch.from_pylist([], schema=pa.schema([("entered_value", pa.string()), ("canonical_name", pa.string()), ("matched_key", pa.string()), ("distance", pa.int32())]))
 
     schema = T.StructType([T.StructField("entered_value", T.StringType()), T.StructField("canonical_name", T.StringType()), T.StructField("matched_key", T.StringType()), T.StructField("distance", T.IntegerType())])
-    distinct = values.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull() & F.col("value").rlike(r"[^\s ​]")).distinct()
+    distinct = values.select(F.col("value").cast("string").alias("value")).where(F.col("value").isNotNull() & F.col("value").rlike(r"[^\s\u00a0\u2007\u202f\u200b]")).distinct()
     return distinct.mapInArrow(run, schema)
 
 

@@ -115,7 +115,7 @@ def parse(spelling: str) -> dict:
         else:
             name, given = words[0], short[0][0]
     else:
-        name = " ".join(sorted(words or short))
+        name = " ".join(sorted(words or short)) or " ".join(spelling.casefold().split())
     return {"form": f"{name}|{given}|{' '.join(sorted(set(kinds)))}", "name": name, "given": given, "kinds": " ".join(sorted(set(kinds))), "acronym": acronym, "bare_acronym": ""}
 
 
