@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,26 @@ def build_session(app: str = "cohortloom", cores: int | str = "*", **conf: str)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each context, so that workers need no installation."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cohortloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="cohortloom-"), "cohortloom.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("cohortloom", os.path.relpath(path, root)))
+    sc.addPyFile(target)  # Spark's own file server sends it; nothing reads the local copy
+    sc._cohortloom_shipped = True
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -52,4 +72,5 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
