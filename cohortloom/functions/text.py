@@ -207,4 +207,4 @@ def distinct_without_case(c: Column) -> Column:
 
 def section(c: Column, name: str) -> Column:
     """The text behind a dashed header line of that name, up to the next dashed line."""
-    return F.trim(F.regexp_extract(c, rf"(?is)-{{3,}}\s*{name}\s*-{{3,}}(.*?)(\n-{{3,}}|$)", 1))
+    return F.regexp_replace(F.regexp_extract(c, rf"(?is)-{{3,}}\s*{name}\s*-{{3,}}(.*?)(\n-{{3,}}|$)", 1), r"^\s+|\s+$", "")

@@ -10,7 +10,7 @@ from cohortloom.functions.text import distinct_without_case, drug_key, regulator
 
 def split_list(c: Column, sep: str) -> Column:
     """The trimmed non-empty parts of a delimited text."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def lookup_keys(rows: DataFrame, row_id: str, *names: str) -> DataFrame:

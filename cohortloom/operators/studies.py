@@ -37,21 +37,21 @@ derivedSection struct<interventionBrowseModule: struct<browseLeaves: array<struc
 _ARRAYS = frozenset("secondaryIdInfos phases conditions keywords locations armGroups interventionNames interventions otherNames groups measures classes categories measurements eventGroups seriousEvents otherEvents stats browseLeaves".split())
 
 
-def _regular(value: object, key: str = "") -> object:
+def _regular(value: object, arrays: frozenset[str], key: str = "") -> object:
     """The record with bare values as arrays where the schema has arrays, and modules written as text decoded."""
     if isinstance(value, str) and value[:1] in "{[":
         value = _inside(value)
     if isinstance(value, dict):
-        value = {k: _regular(v, k) for k, v in value.items()}
+        value = {k: _regular(v, arrays, k) for k, v in value.items()}
     elif isinstance(value, list):
-        value = [_regular(v) for v in value]
-    if key in _ARRAYS and value is not None and not isinstance(value, list):
+        value = [_regular(v, arrays) for v in value]
+    if key in arrays and value is not None and not isinstance(value, list):
         value = [value]
     return value
 
 
-def typed_studies(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Columns to keep, and ``study``: the typed record of each readable JSON text, whatever form it is written in."""
+def regular_json(df: DataFrame, text: str, arrays: frozenset[str], *keep: str) -> DataFrame:
+    """Columns to keep, and ``_json``: each readable record unwrapped, with arrays where the schema has them."""
     schema = T.StructType([*[df.schema[k] for k in keep], T.StructField("_json", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +61,17 @@ def typed_studies(df: DataFrame, text: str, *keep: str) -> DataFrame:
                 rec = read_record(t)
                 if rec is not None and isinstance(rec.get("studies"), list) and rec["studies"]:
                     rec = rec["studies"][0]
-                out.append(json.dumps(_regular(rec), ensure_ascii=False) if rec is not None else None)
+                elif rec is not None and isinstance(rec.get("data"), dict):
+                    rec = rec["data"]
+                out.append(json.dumps(_regular(rec, arrays), ensure_ascii=False) if rec is not None else None)
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(out, pa.string())], names=[*keep, "_json"])
 
-    made = df.select(*keep, F.col(text).cast("string")).mapInArrow(run, schema).where("_json is not null")
-    return made.select(*keep, F.from_json("_json", STUDY.replace("\n", " ")).alias("study"))
+    return df.select(*keep, F.col(text).cast("string")).mapInArrow(run, schema).where("_json is not null")
+
+
+def typed_studies(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Columns to keep, and ``study``: the typed record of each readable JSON text, whatever form it is written in."""
+    return regular_json(df, text, _ARRAYS, *keep).select(*keep, F.from_json("_json", STUDY.replace("\n", " ")).alias("study"))
 
 
 def _p(path: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cohortloom.functions import text as X
 from cohortloom.functions.udfs import batched_entities, compatible_lower, population_model, with_model_cache
 from cohortloom.operators import aggregates as A
-from cohortloom.operators import arms, components, dedup, demographics, joins, scd2, studies
+from cohortloom.operators import arms, components, dedup, demographics, eu_studies, joins, scd2, studies
 from cohortloom.session import table
 from cohortloom.sinks.writers import flat_columns
 
@@ -709,6 +709,17 @@ def _(s, d):
     return table(s, d, "clinical_trials").where("raw_study is not null").orderBy(F.desc("fetched_at"), F.desc("row_id")).limit(10).select("row_id", F.length("raw_study").alias("size"))
 
 
+_CODES = "(SELECT string_agg(DISTINCT c,',' ORDER BY c) FROM (VALUES " + ", ".join(f"('{k}','{c}')" for k, c in X.AE_CODES.items()) + ") v(k,c) WHERE contains(lower(%s), k))"
+
+
+@query("ref_t29_enriched", f"""
+SELECT nct_id AS trial_id, 'us_registry' AS source, status, eligibility_criteria, coalesce({_CODES % "concat_ws(' ', description, eligibility_criteria)"},'') AS codes FROM clinical_trials
+UNION ALL SELECT eudract_number, 'eu_registry', trial_status, 'Inclusion: '||coalesce(inclusion_criteria,'')||chr(10)||'Exclusion: '||coalesce(exclusion_criteria,''), coalesce({_CODES % "concat_ws(' ', description, inclusion_criteria, exclusion_criteria)"},'') FROM eu_clinical_trials""")
+def _(s, d):
+    e = eu_studies.enriched(table(s, d, "clinical_trials"), table(s, d, "eu_clinical_trials"))
+    return e.select("trial_id", "source", "status", "eligibility_criteria", F.array_join("meddra_codes", ",").alias("codes"))
+
+
 @query("ref_w05_flat_export", "SELECT trial_id, array_to_string(countries,', ') AS countries, CAST(len(interventions) AS INT) AS n FROM enriched_trials WHERE countries IS NOT NULL AND interventions IS NOT NULL")
 def _(s, d):
     t = table(s, d, "enriched_trials").where("countries is not null and interventions is not null").select("trial_id", "countries", F.size("interventions").alias("n"))
@@ -728,6 +739,26 @@ def _(s, d):
     return flat_columns(r)
 
 
+@query("ref_j02_legacy_records")
+def _(s, d):
+    t = table(s, d, "clinical_trials")
+    loc = F.transform("location_countries", lambda c: F.struct(F.struct(c.alias("Country")).alias("GeoPoint")))
+    arm = F.array(F.struct(F.struct(F.transform("intervention_names", lambda n: F.struct(n.alias("Name"))).alias("Intervention")).alias("InterventionList")))
+    sec = F.struct(F.struct(F.col("nct_id").alias("NCTId"), F.col("title").alias("OfficialTitle")).alias("IdentificationModule"), F.struct(F.struct(arm.alias("ArmGroup")).alias("ArmGroupList")).alias("ArmsInterventionsModule"), F.struct(F.struct(loc.alias("Location")).alias("LocationList")).alias("ContactsLocationsModule"))
+    return flat_columns(eu_studies.legacy_records(t.select(F.to_json(F.struct(sec.alias("ProtocolSection"))).alias("j")), "j"), "|")
+
+
+@query("ref_j03_eu_records")
+def _(s, d):
+    return flat_columns(eu_studies.eu_records(table(s, d, "eu_clinical_trials"), "raw_trial"), "|")
+
+
+@query("ref_j04_eu_interventions")
+def _(s, d):
+    r = eu_studies.eu_records(table(s, d, "eu_clinical_trials"), "raw_trial")
+    return r.select("eudract_number", F.explode("intervention_names").alias("name"))
+
+
 @query("ref_j06_trial_rows")
 def _(s, d):
     return studies.trial_rows(_studies(s, d))
