@@ -145,7 +145,7 @@ def packed_windows(documents: DataFrame, windows: DataFrame, tokenizer: str = "b
 
     Every document is in exactly one container for each window_id with a positive capacity, or in several if it is
     longer than the capacity. Empty and null texts have no tokens and go, as pieces of length 0, behind the items of
-    a container of their shard. Repeated rows are each placed. Texts are measured and indexed whole; document
+    a container of their shard. Repeated rows, and rows without doc_id, are each placed. Texts are measured and indexed whole; document
     frequencies and the mean length are those of all documents. No documents or no windows give no rows.
     """
     topic = F.col("nct_id") if "nct_id" in documents.columns else F.lit(None).cast("string")
@@ -177,7 +177,7 @@ def packed_windows(documents: DataFrame, windows: DataFrame, tokenizer: str = "b
         base = TaskContext.get().partitionId() << 32
         made = 0
 
-        def shard(ids: np.ndarray, sizes: list[int], terms: list, tfs: list) -> Iterator[pa.RecordBatch]:
+        def shard(ids: list, sizes: list[int], terms: list, tfs: list) -> Iterator[pa.RecordBatch]:
             nonlocal made
             index = Index(terms, tfs, idf, mean_length)
             empty = [d for d, s in enumerate(sizes) if s == 0]
@@ -189,7 +189,7 @@ def packed_windows(documents: DataFrame, windows: DataFrame, tokenizer: str = "b
                 rows = [(made + k, i, *piece) for k, w in enumerate(found) for i, piece in enumerate(w)]
                 made += len(found)
                 cont, pos, doc, piece, first, end = (np.array(c, np.int64) for c in zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), window_id, np.int32)), pa.array(base + cont), pa.array(pos.astype(np.int32)), pa.array(ids[doc]), pa.array(piece), pa.array(first), pa.array(end), pa.array(end - first)], names=PLACED.fieldNames())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), window_id, np.int32)), pa.array(base + cont), pa.array(pos.astype(np.int32)), pa.array(ids, pa.int64()).take(pa.array(doc)), pa.array(piece), pa.array(first), pa.array(end), pa.array(end - first)], names=PLACED.fieldNames())
 
         ids, sizes, terms, tfs = [], [], [], []
         for b in batches:
@@ -199,13 +199,13 @@ def packed_windows(documents: DataFrame, windows: DataFrame, tokenizer: str = "b
                 terms.append(t.values.to_numpy())
                 tfs.append(f.values.to_numpy())
                 if len(ids) == SHARD:
-                    yield from shard(np.array(ids, np.int64), sizes, terms, tfs)
+                    yield from shard(ids, sizes, terms, tfs)
                     ids, sizes, terms, tfs = [], [], [], []
         if ids:
-            yield from shard(np.array(ids, np.int64), sizes, terms, tfs)
+            yield from shard(ids, sizes, terms, tfs)
 
     shards = max(1, -(-n // SHARD))
-    return items.where("doc_id is not null").repartitionByRange(shards, "topic", "doc_id").sortWithinPartitions("topic", "doc_id").select("doc_id", "n_tokens", "terms", "tfs").mapInArrow(pack, PLACED)
+    return items.repartitionByRange(shards, "topic", "doc_id").sortWithinPartitions("topic", "doc_id").select("doc_id", "n_tokens", "terms", "tfs").mapInArrow(pack, PLACED)
 
 
 def fill_report(placed: DataFrame, windows: DataFrame) -> DataFrame:

@@ -43,6 +43,8 @@ def test_empty_null_repeated_and_clashing(spark):
     assert sum(r.doc_id == 4 for r in out) == 2
     assert packed_windows(docs.limit(0), win).count() == 0
     assert packed_windows(docs, win.limit(0)).count() == 0
+    nameless = spark.createDataFrame([(None, "some words", None, 1), (None, None, None, 1)], docs.schema)
+    assert packed_windows(nameless, win).count() == 2
     only_empty = packed_windows(docs.where("doc_id < 3"), win).collect()
     assert [(r.doc_id, r.n_tokens) for r in sorted(only_empty, key=lambda r: r.doc_id)] == [(1, 0), (2, 0)]
 
