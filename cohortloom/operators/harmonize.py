@@ -76,3 +76,58 @@ def primary_name(*preferred: Column) -> Column:
 def first_date(dates: Column) -> Column:
     """The earliest date of nested lists of dates."""
     return F.array_min(F.filter(F.flatten(dates), lambda d: d.isNotNull()))
+
+
+def packages(products: DataFrame) -> DataFrame:
+    """One row per package of NDC products, with names, labeller and active ingredients as text."""
+    p = products.select("product_ndc", "brand_name", "generic_name", "labeler_name", F.explode_outer("packaging").alias("k"), "active_ingredients")
+    strength = F.transform("active_ingredients", lambda a: F.concat_ws(" ", a["name"], a["strength"]))
+    return p.select("product_ndc", "brand_name", "generic_name", "labeler_name", F.col("k.package_ndc").alias("package_ndc"), F.col("k.description").alias("description"), F.array_join(strength, "; ").alias("ingredients"))
+
+
+def licences(products: DataFrame) -> DataFrame:
+    """Purple-book products: proprietary names as a list, and what a product may be exchanged for."""
+    kind = F.lower(F.coalesce("BLA Type", F.lit("")))
+    return products.select(
+        F.trim("BLA Number").alias("bla_number"), F.trim("Proper Name").alias("proper_name"), split_list(F.col("Proprietary Name"), ",").alias("brand_names"), F.col("BLA Type").alias("bla_type"),
+        F.when(kind.contains("interchangeable"), "Interchangeable").when(kind.contains("biosimilar") | kind.contains("351(k)"), "Biosimilar").when(kind == "", None).otherwise("Reference Product").alias("interchangeability"),
+    )
+
+
+def label_facts(labels: DataFrame) -> DataFrame:
+    """The first text of each section of a label, its product codes with a prefix, and all registry ids in its studies."""
+    first = lambda c: F.get(F.col(c), 0)
+    return labels.select(
+        "set_id", first("indications_and_usage").alias("indications"), first("mechanism_of_action").alias("mechanism"),
+        F.transform("product_ndc", lambda x: F.concat(F.lit("NDC: "), x)).alias("products"), F.array_distinct(trial_ids_in(F.coalesce(F.array_join("clinical_studies", " "), F.lit("")))).alias("nct_ids"),
+    )
+
+
+def with_cross_names(rows: DataFrame, other: DataFrame, key: str, names: str) -> DataFrame:
+    """Rows whose list of names also has those of the other source under the same number; only missing names are added."""
+    one = other.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(names)))).alias("_more"))
+    return rows.join(one, key, "left").withColumn(names, F.when(F.col("_more").isNull(), F.col(names)).otherwise(distinct_without_case(F.concat(names, "_more")))).drop("_more")
+
+
+def coded(terms: DataFrame, term: str, codes: DataFrame, name: str, code: str) -> DataFrame:
+    """Terms with the code of the dictionary entry of that name, else the term itself in title case."""
+    one = codes.groupBy(F.lower(F.trim(name)).alias("_k")).agg(F.min(code).alias("code"))
+    return terms.join(one, F.lower(F.trim(term)) == F.col("_k"), "left").select(*terms.columns, F.coalesce("code", F.initcap(F.col(term))).alias("code"))
+
+
+def merged_rows(rows: DataFrame, row_id: str, names: str) -> DataFrame:
+    """(row id, group): rows that share a name, directly or through others, have one group, their smallest row id as text."""
+    from cohortloom.operators.components import synonym_groups
+
+    exploded = rows.select(F.col(row_id).cast("string").alias("r"), F.explode(names).alias("n")).where(F.trim("n") != "")
+    groups = synonym_groups(exploded.select(F.concat(F.lit("row "), "r").alias("a"), F.concat(F.lit("zname "), F.lower(F.trim("n"))).alias("b")))
+    found = groups.where(F.col("name").startswith("row ")).select(F.substring("name", 5, 1000).alias("_r"), F.substring("root", 5, 1000).alias("group"))
+    return rows.select(F.col(row_id), F.col(row_id).cast("string").alias("_r")).join(found, "_r", "left").select(row_id, F.coalesce("group", "_r").alias("group"))
+
+
+def drug_rows(generics: DataFrame) -> DataFrame:
+    """Drug-table rows from harmonised generics: clean aliases, sorted and distinct, as JSON text."""
+    from cohortloom.functions.text import is_clean_alias
+
+    pool = F.filter(F.flatten(F.array(F.array("generic_name"), F.coalesce("brand_names", F.array().cast("array<string>")), F.coalesce("synonyms", F.array().cast("array<string>")))), lambda a: is_clean_alias(a))
+    return generics.select(F.lower("generic_name").alias("canonical_name"), "rxcui", F.to_json(F.array_sort(F.array_distinct(pool))).alias("aliases"))

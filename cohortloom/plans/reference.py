@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cohortloom.functions import text as X
 from cohortloom.functions.udfs import batched_entities, compatible_lower, population_model, with_model_cache
 from cohortloom.operators import aggregates as A
-from cohortloom.operators import arms, components, dedup, demographics, eu_studies, joins, scd2, studies
+from cohortloom.operators import arms, components, dedup, demographics, eu_studies, harmonize, joins, runs, scd2, studies
 from cohortloom.session import table
 from cohortloom.sinks.writers import flat_columns
 
@@ -132,9 +132,9 @@ _KEYWORDS = ", ".join(f"('{k}')" for k in X.AE_CODES)
 
 
 @query("ref_a11_event_patterns", f"""
-WITH k(k) AS (VALUES {_KEYWORDS}) SELECT k AS keyword, {_SOC} AS soc, count(*) AS n FROM documents JOIN k ON contains(lower(text), k) GROUP BY 1,2""")
+WITH k(k) AS (VALUES {_KEYWORDS}) SELECT k AS keyword, {_SOC} AS soc, count(*) AS n FROM clinical_trials JOIN k ON contains(lower(raw_study), k) GROUP BY 1,2""")
 def _(s, d):
-    e = table(s, d, "documents").select(F.explode(X.adverse_events(F.col("text"))).alias("e"))
+    e = table(s, d, "clinical_trials").select(F.explode(X.adverse_events(F.col("raw_study"))).alias("e"))
     return e.groupBy(F.col("e.keyword").alias("keyword"), X.soc_category(F.col("e.keyword")).alias("soc")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -614,9 +614,9 @@ def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", X.intervention_name(F.col("intervention_name")).alias("k"))
 
 
-@query("ref_t05_event_keywords", f"WITH k(k) AS (VALUES {_KEYWORDS}) SELECT doc_id, k AS keyword FROM documents JOIN k ON contains(lower(text), k)")
+@query("ref_t05_event_keywords", f"WITH k(k) AS (VALUES {_KEYWORDS}) SELECT row_id, k AS keyword FROM clinical_trials JOIN k ON contains(lower(raw_study), k)")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", F.explode(X.adverse_events(F.col("text"))).alias("e")).select("doc_id", F.col("e.keyword").alias("keyword"))
+    return table(s, d, "clinical_trials").select("row_id", F.explode(X.adverse_events(F.col("raw_study"))).alias("e")).select("row_id", F.col("e.keyword").alias("keyword"))
 
 
 @query("ref_t07_mined_interventions")
@@ -832,3 +832,141 @@ def _(s, d):
 def _(s, d):
     t = table(s, d, "enriched_trials").select("trial_id", population_model()(F.col("eligibility_criteria")).alias("h"))
     return t.select("trial_id", "h.has_population_restriction")
+
+
+# ---------------------------------------------------------------- further filters, joins and exports
+
+
+@query("ref_p12_flag_filter", "SELECT name_id FROM trial_interventions WHERE regexp_matches(lower(intervention_name),'placebo|sham') AND ord > 0")
+def _(s, d):
+    t = table(s, d, "trial_interventions").withColumn("a", X.is_placebo_name(F.col("intervention_name"))).withColumn("b", F.col("ord") > 0)
+    return t.where("a and b").select("name_id")
+
+
+@query("ref_p13_diversity", """
+SELECT c_custkey, CASE WHEN t IN ('A1','A2') THEN coalesce(c_acctbal/10000 >= 0.95, false) WHEN t='B1' THEN coalesce(c_mktsegment,'')<>'' ELSE false END AS passes_diversity
+FROM (SELECT *, CASE WHEN c_nationkey<8 THEN 'A1' WHEN c_nationkey<12 THEN 'A2' WHEN c_nationkey<20 THEN 'B1' ELSE 'NONE' END AS t FROM customer)""")
+def _(s, d):
+    n = F.col("c_nationkey")
+    c = table(s, d, "customer").select("c_custkey", F.when(n < 8, "A1").when(n < 12, "A2").when(n < 20, "B1").otherwise("NONE").alias("demog_tier"), (F.col("c_acctbal") / 10000).alias("inferred_diversity_pct"), F.col("c_mktsegment").alias("inferred_population"))
+    return demographics.with_diversity_flag(c).select("c_custkey", "passes_diversity")
+
+
+@query("ref_p17_document_addresses", "SELECT trial_id, regexp_replace(url,'^http:','https:') AS url FROM enriched_trials WHERE url LIKE 'http%' AND length(url)-length(replace(url,'http',''))<=4")
+def _(s, d):
+    t = table(s, d, "enriched_trials").where(F.col("url").startswith("http") & (F.regexp_count("url", F.lit("http")) <= 1))
+    return t.select("trial_id", F.regexp_replace("url", "^http:", "https:").alias("url"))
+
+
+@query("ref_r03_trial_level_join", "SELECT i.name_id, c.source FROM trial_interventions i JOIN (SELECT trial_id, min(source) AS source FROM enriched_trials GROUP BY 1) c ON i.nct_id=c.trial_id")
+def _(s, d):
+    c = table(s, d, "enriched_trials").groupBy(F.col("trial_id").alias("nct_id")).agg(F.min("source").alias("source"))
+    return table(s, d, "trial_interventions").join(c, "nct_id").select("name_id", "source")
+
+
+@query("ref_r10_mapped_signal", """SELECT i.name_id, s.signal FROM trial_interventions i LEFT JOIN (SELECT trial_id, max(CASE WHEN regexp_matches(lower(title),'asthma') THEN 'asthma' END) AS signal FROM enriched_trials GROUP BY 1) s ON i.nct_id=s.trial_id""")
+def _(s, d):
+    m = table(s, d, "enriched_trials").groupBy(F.col("trial_id").alias("nct_id")).agg(F.max(F.when(F.lower("title").contains("asthma"), "asthma")).alias("signal"))
+    return table(s, d, "trial_interventions").join(m, "nct_id", "left").select("name_id", "signal")
+
+
+@query("ref_r18_cross_names", """
+WITH a AS (SELECT nct_id, list_sort(list_distinct(list(intervention_name))) AS names FROM trial_interventions WHERE trim(intervention_name)<>'' AND nct_id IS NOT NULL GROUP BY 1)
+SELECT nct_id, CAST(len(list_distinct(list_transform(list_concat([nct_id], names), lambda x: lower(trim(x))))) AS INT) AS n FROM a""")
+def _(s, d):
+    i = table(s, d, "trial_interventions").where("trim(intervention_name) <> '' and nct_id is not null")
+    other = i.select("nct_id", F.array("intervention_name").alias("names"))
+    rows = i.select("nct_id").distinct().withColumn("names", F.array("nct_id"))
+    return harmonize.with_cross_names(rows, other, "nct_id", "names").select("nct_id", F.size("names").alias("n"))
+
+
+@query("ref_r20_merged_rows", """
+WITH RECURSIVE u AS (SELECT canonical_name AS r, lower(trim(unnest(CAST(subtypes AS VARCHAR[])))) AS n FROM drug_reference), p AS (SELECT DISTINCT a.r AS x, b.r AS y FROM (SELECT r, n, min(r) OVER (PARTITION BY n) AS m FROM u) a JOIN u b ON a.n=b.n AND b.r=a.m UNION SELECT b.r, a.r FROM (SELECT r, n, min(r) OVER (PARTITION BY n) AS m FROM u) a JOIN u b ON a.n=b.n AND b.r=a.m),
+c AS (SELECT canonical_name AS r, canonical_name AS o FROM drug_reference UNION SELECT c.r, p.y FROM c JOIN p ON c.o=p.x) SELECT r AS canonical_name, min(o) AS "group" FROM c GROUP BY 1""")
+def _(s, d):
+    r = table(s, d, "drug_reference").select("canonical_name", F.from_json("subtypes", "array<string>").alias("names"))
+    return harmonize.merged_rows(r, "canonical_name", "names")
+
+
+@query("ref_r23_coded_terms", "SELECT i.name_id, coalesce(r.rxcui, 'none') AS code FROM trial_interventions i LEFT JOIN drug_reference r ON lower(trim(i.intervention_name,' '))=lower(trim(r.canonical_name,' ')) WHERE r.rxcui IS NOT NULL")
+def _(s, d):
+    t = harmonize.coded(table(s, d, "trial_interventions").select("name_id", "intervention_name"), "intervention_name", table(s, d, "drug_reference").where("rxcui is not null"), "canonical_name", "rxcui")
+    return t.where(F.col("code") != F.initcap("intervention_name")).select("name_id", "code")
+
+
+@query("ref_r25_membership_flags", """SELECT canonical_name, list_contains(CAST(subtypes AS VARCHAR[]),'NSCLC') AS nsclc, list_contains(CAST(subtypes AS VARCHAR[]),'SCLC') AS sclc FROM drug_reference""")
+def _(s, d):
+    t = table(s, d, "drug_reference").select("canonical_name", F.explode_outer(F.from_json("subtypes", "array<string>")).alias("v"))
+    return t.groupBy("canonical_name").agg(F.coalesce(F.bool_or(F.col("v") == "NSCLC"), F.lit(False)).alias("nsclc"), F.coalesce(F.bool_or(F.col("v") == "SCLC"), F.lit(False)).alias("sclc"))
+
+
+@query("ref_d03_first_kind", "SELECT l_partkey, arg_min(l_returnflag, l_orderkey*10+l_linenumber) AS l_returnflag FROM lineitem GROUP BY 1")
+def _(s, d):
+    return dedup.keep_first(table(s, d, "lineitem").select("l_partkey", "l_returnflag", "l_orderkey", "l_linenumber"), ["l_partkey"], ["l_orderkey", "l_linenumber"]).select("l_partkey", "l_returnflag")
+
+
+@query("ref_d07_first_product", "SELECT p_name, min(p_partkey) AS p_partkey FROM part GROUP BY 1")
+def _(s, d):
+    return dedup.keep_first(table(s, d, "part").select("p_name", "p_partkey"), ["p_name"], ["p_partkey"])
+
+
+@query("ref_o03_top_values", "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, min(p_partkey) LIMIT 10")
+def _(s, d):
+    return dedup.top_counts(table(s, d, "part"), "p_brand", "p_partkey", 10)
+
+
+@query("ref_o04_order_without_case", "SELECT canonical_name, row_number() OVER (ORDER BY lower(canonical_name)) AS place FROM drug_reference")
+def _(s, d):
+    r = table(s, d, "drug_reference").agg(F.array_sort(F.collect_list(F.struct(F.lower("canonical_name").alias("k"), "canonical_name"))).alias("l"))  # a fixed list of a few hundred names
+    return r.select(F.posexplode("l").alias("place", "x")).select("x.canonical_name", (F.col("place") + 1).cast("long").alias("place"))
+
+
+@query("ref_u03_tiers_in_order", "SELECT c_custkey, CASE WHEN c_acctbal>5000 THEN 'A' WHEN c_mktsegment='AUTOMOBILE' THEN 'B' ELSE 'NONE' END AS tier FROM customer")
+def _(s, d):
+    c = table(s, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    a = c.where("c_acctbal > 5000").select("c_custkey", F.lit("A").alias("tier"))
+    b = c.join(a, "c_custkey", "left_anti").where("c_mktsegment = 'AUTOMOBILE'").select("c_custkey", F.lit("B").alias("tier"))
+    return a.unionByName(b).unionByName(c.join(a.unionByName(b), "c_custkey", "left_anti").select("c_custkey", F.lit("NONE").alias("tier")))
+
+
+@query("ref_t06_event_codes", f"WITH k(k, c) AS (VALUES {', '.join(f"('{k}','{c}')" for k, c in X.AE_CODES.items())}) SELECT row_id, string_agg(DISTINCT c,',' ORDER BY c) AS codes FROM clinical_trials JOIN k ON contains(lower(raw_study), k) GROUP BY 1")
+def _(s, d):
+    t = table(s, d, "clinical_trials").select("row_id", F.array_sort(F.array_distinct(F.transform(X.adverse_events(F.col("raw_study")), lambda e: e["code"]))).alias("c"))
+    return t.where(F.size("c") > 0).select("row_id", F.array_join("c", ",").alias("codes"))
+
+
+@query("ref_t15_dashed_section")
+def _(s, d):
+    return table(s, d, "documents").select("doc_id", X.section(F.col("text"), "INDICATIONS").alias("section")).where("section <> ''")
+
+
+@query("ref_t22_json_round_trip", "SELECT canonical_name, array_to_string(CAST(aliases AS VARCHAR[]),'|') AS aliases FROM drug_reference")
+def _(s, d):
+    t = table(s, d, "drug_reference").withColumn("j", F.to_json(F.from_json("aliases", "array<string>")))
+    return t.select("canonical_name", F.array_join(F.from_json("j", "array<string>"), "|").alias("aliases"))
+
+
+@query("ref_t27_drug_rows", f"""
+SELECT canonical_name, rxcui, to_json(list_sort(list_distinct(list_filter(list_concat([canonical_name], CAST(aliases AS VARCHAR[])), lambda a: a<>'' AND length(a)<=40 AND NOT regexp_matches(lower(a), '{X.ALIAS_NOISE}')))))::VARCHAR AS aliases FROM drug_reference""")
+def _(s, d):
+    g = table(s, d, "drug_reference").select(F.col("canonical_name").alias("generic_name"), "rxcui", F.from_json("aliases", "array<string>").alias("brand_names"), F.lit(None).cast("array<string>").alias("synonyms"))
+    return harmonize.drug_rows(g)
+
+
+@query("ref_t28_list_display", "SELECT row_id, array_to_string(location_countries,' | ') AS countries FROM clinical_trials WHERE location_countries IS NOT NULL")
+def _(s, d):
+    return table(s, d, "clinical_trials").where("location_countries is not null").select("row_id", F.array_join("location_countries", " | ").alias("countries"))
+
+
+@query("ref_w04_run_log", "SELECT 'r1' AS run_id, 'completed' AS status, CAST(count(*) AS BIGINT) AS inserted, 60.0::DOUBLE AS duration_seconds FROM (SELECT DISTINCT trial_id FROM enriched_trials WHERE trim(trial_id)<>'')")
+def _(s, d):
+    t = table(s, d, "enriched_trials").where("trial_id is not null").groupBy("trial_id").agg(F.min("status").alias("status"))
+    stats = scd2.scd2_upsert(None, t, "trial_id", ["status"], NOW()).stats
+    log = runs.complete_run(runs.start_run(s, None, "r1", NOW("2024-01-31 00:00:00")), "r1", stats, NOW("2024-01-31 00:01:00"))
+    return log.select("run_id", "status", "inserted", "duration_seconds")
+
+
+@query("ref_w16_last_label", "SELECT o_custkey, strftime(o_orderdate,'%Y-%m-%d') AS day, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1,2")
+def _(s, d):
+    o = table(s, d, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderkey")
+    return dedup.keep_last(o, ["o_custkey", "day"], ["o_orderkey"])

@@ -186,6 +186,29 @@ def test_harmonisation(spark):
     assert [tuple(r) for r in t.collect()] == [("k", "first", "2020-01-01")]
 
 
+def test_agency_records(spark):
+    ndc = spark.createDataFrame([("1", "B", "g", "L", [("1-1", "box")], [("A", "5 mg"), ("C", None)]), ("2", "B", "g", "L", None, None)], "product_ndc string, brand_name string, generic_name string, labeler_name string, packaging array<struct<package_ndc: string, description: string>>, active_ingredients array<struct<name: string, strength: string>>")
+    assert {(r.product_ndc, r.package_ndc, r.ingredients) for r in harmonize.packages(ndc).collect()} == {("1", "1-1", "A 5 mg; C"), ("2", None, None)}
+    bla = spark.createDataFrame([(" 1 ", "x", "A, B,", "351(k) Interchangeable"), ("2", "y", None, "351(a)"), ("3", "z", "", None), ("4", "w", "C", "351(k) Biosimilar")], "`BLA Number` string, `Proper Name` string, `Proprietary Name` string, `BLA Type` string")
+    assert [(r.bla_number, r.brand_names, r.interchangeability) for r in harmonize.licences(bla).orderBy("bla_number").collect()] == [("1", ["A", "B"], "Interchangeable"), ("2", [], "Reference Product"), ("3", [], None), ("4", ["C"], "Biosimilar")]
+    lab = spark.createDataFrame([("s", ["use it", "x"], None, ["1-1"], ["NCT01234567 and NCT01234567"])], "set_id string, indications_and_usage array<string>, mechanism_of_action array<string>, product_ndc array<string>, clinical_studies array<string>")
+    assert tuple(harmonize.label_facts(lab).first()) == ("s", "use it", None, ["NDC: 1-1"], ["NCT01234567"])
+    rows = spark.createDataFrame([(1, ["a", "B"]), (2, ["b"]), (3, ["c"]), (4, None)], "id int, names array<string>")
+    assert {r.id: r.group for r in harmonize.merged_rows(rows, "id", "names").collect()} == {1: "1", 2: "1", 3: "3", 4: "4"}
+
+
+def test_run_log(spark):
+    from cohortloom.operators import runs
+
+    at = lambda m: F.to_timestamp(F.lit(f"2024-01-01 00:{m:02d}:00"))
+    log = runs.start_run(spark, runs.start_run(spark, None, "r1", at(0)), "r2", at(1))
+    stats = spark.createDataFrame([(1, 2, 3, 4)], "inserted long, updated long, unchanged long, errors long")
+    out = {r.run_id: r for r in runs.complete_run(log, "r1", stats, at(5)).collect()}
+    assert (out["r1"].status, out["r1"].errors, out["r1"].duration_seconds, out["r2"].status) == ("completed", 4, 300.0, "running")
+    assert runs.complete_run(log, "r2", stats, at(5), "boom").where("status = 'failed'").count() == 1
+    assert runs.text_report(spark.createDataFrame([("b", 2), ("a", 1)], "measure string, value int"), "Report").split("\n") == ["Report", "======", "a: 1", "b: 2"]
+
+
 def test_joins_with_nulls_and_flags(spark):
     a = spark.createDataFrame([("1", None), ("1", "x")], "nct_id string, arm_label string")
     b = spark.createDataFrame([("1", None, 5), ("1", "x", 6)], "nct_id string, arm_label string, v int")
