@@ -7,7 +7,7 @@ from cohortloom.session import table
 
 QUERIES = {
     "p3_found": lambda spark, d: canonical.typed_products(table(spark, d, "clinical_trials"), table(spark, d, "harmonized_drug_queries"), table(spark, d, "drug_reference")),
-    "p4_found": lambda spark, d: linkage.matched_pairs(table(spark, d, "enriched_trials"), table(spark, d, "drug_reference")).select("trial_id_a", "trial_id_b"),
+    "p4_found": lambda spark, d: linkage.matched_pairs(table(spark, d, "enriched_trials"), table(spark, d, "drug_reference"), calibrate=False).select("trial_id_a", "trial_id_b"),
     "p4_confidence": lambda spark, d: linkage.matched_pairs(table(spark, d, "enriched_trials"), table(spark, d, "drug_reference")),
     "p5_found": lambda spark, d: variants.sponsor_pairs(table(spark, d, "enriched_trials")),
     "p6_found": lambda spark, d: components.mention_groups(table(spark, d, "trial_interventions"), table(spark, d, "intervention_links")),
