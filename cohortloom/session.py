@@ -58,6 +58,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return value.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/cohortloom/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove all scratch tables of this application; results that were not written yet can't be read afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back.
 
@@ -65,7 +76,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     re-read from shared storage. The written schema is kept, and an empty frame gives an empty table.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/cohortloom/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
