@@ -87,13 +87,17 @@ def join_tokens(v: Vocabulary, text: str, lo: int, mid: int, hi: int, left: np.n
 
 
 def encode_texts(texts: list[str], v: Vocabulary, leaf: int = LEAF_CHARS) -> list[np.ndarray]:
-    """Token ids of every text: leaves in one batch, then neighbours joined pairwise up the tree."""
+    """Token ids of every text: its leaves, then neighbours joined pairwise up the tree."""
     spans: list[list[tuple[int, int]]] = []
     for t in texts:
-        n = max(1, 1 << max(0, (max(len(t), 1) - 1) // leaf).bit_length())
+        if len(t) <= leaf:
+            spans.append([(0, len(t))] if t else [])
+            continue
+        n = 1 << ((len(t) - 1) // leaf).bit_length()
         edges = [len(t) * i // n for i in range(n + 1)]
         spans.append([(a, b) for a, b in zip(edges, edges[1:]) if a < b])
-    flat = v.encoding.encode_ordinary_batch([t[a:b] for t, s in zip(texts, spans) for a, b in s], num_threads=1)
+    encode = v.encoding.encode_ordinary
+    flat = [encode(t if len(s) == 1 else t[a:b]) for t, s in zip(texts, spans) for a, b in s]
     out, k = [], 0
     for t, s in zip(texts, spans):
         level = [(a, b, np.asarray(ids, np.int32)) for (a, b), ids in zip(s, flat[k : k + len(s)])]
