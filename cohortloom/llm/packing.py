@@ -5,7 +5,9 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,11 @@ PLACED = T.StructType(
 )
 
 
+@lru_cache(500_000)
+def _term(word: str) -> int:
+    return zlib.crc32(word.encode()) % TERMS
+
+
 def _items(tokenizer: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(tokenizer, folder)
@@ -44,10 +51,9 @@ def _items(tokenizer: str, folder: str):
                 sizes = [len(x) for x in encode_texts(texts, v)]
                 terms, tfs = [], []
                 for t in texts:
-                    ids = np.array([zlib.crc32(w.encode()) % TERMS for w in _TERM.findall(t.lower())], np.int32)
-                    u, c = np.unique(ids, return_counts=True)
-                    terms.append(u)
-                    tfs.append(c.astype(np.int32))
+                    counts = Counter(_TERM.findall(t.lower()))
+                    terms.append(np.fromiter(map(_term, counts), np.int32, len(counts)))
+                    tfs.append(np.fromiter(counts.values(), np.int32, len(counts)))
                 offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in terms])].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).cast(pa.int64()), batch.column(1).slice(start, len(texts)), pa.array(sizes, pa.int64()),
@@ -70,14 +76,15 @@ class Index:
         length = np.bincount(owner, tf, n)
         impact = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / max(mean_length, 1e-9)))
         order = np.argsort(flat, kind="stable")
-        self.docs, self.impact = owner[order].astype(np.int32), impact[order].astype(np.float32)
+        self.docs, self.impact = owner[order], impact[order].astype(np.float64)
         self.vocab, self.starts = np.unique(flat[order], return_index=True)
         self.stops = np.r_[self.starts[1:], len(flat)]
-        self.n, self.terms = n, terms
+        places, ends = np.searchsorted(self.vocab, flat), np.cumsum(sizes)
+        self.n, self.places = n, [places[e - k : e] for e, k in zip(ends, sizes)]
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 of every document of the shard for the terms of ``doc``."""
-        at = np.searchsorted(self.vocab, self.terms[doc])
+        at = self.places[doc]
         if not len(at):
             return np.zeros(self.n)
         a, b = self.starts[at], self.stops[at]
@@ -89,8 +96,8 @@ class Index:
 def fill_windows(sizes: list[int], index: Index, capacity: int) -> list[list[tuple[int, int, int, int]]]:
     """Windows as lists of (document, piece, first token, end token).
 
-    The largest unused item is the seed. Unused neighbours are taken in the order of their BM25 score for the seed,
-    as long as they fit and something unused still fits behind them; what is left is filled with the largest unused
+    The largest unused item is the seed. Of the unused neighbours that fit, and behind which something unused still
+    fits or next to nothing is left, the one with the highest BM25 score for the seed is taken, again and again; what is left is filled with the largest unused
     item that fits. Only a document longer than the capacity is split, into full pieces and a rest.
     """
     windows: list[list[tuple[int, int, int, int]]] = []
@@ -120,17 +127,16 @@ def fill_windows(sizes: list[int], index: Index, capacity: int) -> list[list[tup
             fits = (left > 0) & (left <= room)
             score = index.scores(seed)
             near = np.flatnonzero(fits & (score > 0))
-            for d in near[np.argsort(-score[near], kind="stable")]:
-                size = int(left[d])
-                after = room - size
-                if after < 0:
-                    continue
-                smallest = free[1][0] if free[0][1] == d and len(free) > 1 else free[0][0]
-                if after <= SLACK * capacity or (smallest <= after and len(free) > 1):
-                    window.append(take(int(d)))
-                    room = after
-                    if not free or room < free[0][0]:
-                        break
+            rank = score[near]
+            while free and room >= free[0][0]:
+                after = room - left[near]
+                behind = np.where(near == free[0][1], free[1][0] if len(free) > 1 else capacity + 1, free[0][0])
+                good = (after >= 0) & ((after <= SLACK * capacity) | (behind <= after)) & (left[near] > 0)
+                if not good.any():
+                    break
+                k = int(np.argmax(np.where(good, rank, -1.0)))
+                window.append(take(int(near[k])))
+                room = int(after[k])
             while free and room >= free[0][0]:
                 k = bisect.bisect_right(free, (room, len(sizes))) - 1
                 d = free[k][1]
@@ -193,11 +199,14 @@ def packed_windows(documents: DataFrame, windows: DataFrame, tokenizer: str = "b
 
         ids, sizes, terms, tfs = [], [], [], []
         for b in batches:
-            for d, s, t, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+            offsets = b.column(2).offsets.to_numpy()
+            flat_terms, flat_tfs = b.column(2).values.to_numpy(), b.column(3).values.to_numpy()
+            shift = b.column(3).offsets[0].as_py() - int(offsets[0])
+            for i, (d, s) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 ids.append(d)
                 sizes.append(s)
-                terms.append(t.values.to_numpy())
-                tfs.append(f.values.to_numpy())
+                terms.append(flat_terms[offsets[i] : offsets[i + 1]])
+                tfs.append(flat_tfs[offsets[i] + shift : offsets[i + 1] + shift])
                 if len(ids) == SHARD:
                     yield from shard(ids, sizes, terms, tfs)
                     ids, sizes, terms, tfs = [], [], [], []
