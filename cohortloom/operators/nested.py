@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -143,14 +144,14 @@ def _emit(lists: pa.ListArray, keys: pa.Array, paths: pa.Array | None, node: Nod
     child, parent = lists.flatten(), pc.list_parent_indices(lists)
     if not len(child):
         return
-    starts = pc.take(lists.offsets, parent)
-    place = pc.cast(pc.subtract(pa.array(range(lists.offsets[0].as_py(), lists.offsets[0].as_py() + len(child)), pa.int64()), pc.cast(starts, pa.int64())), pa.string())
+    starts = pc.take(lists.offsets, parent).to_numpy()
+    place = pc.cast(pa.array(np.arange(lists.offsets[0].as_py(), lists.offsets[0].as_py() + len(child)) - starts), pa.string())
     rec = keys.take(parent)
     own = pc.binary_join_element_wise(pa.scalar(node.name + "["), place, pa.scalar("]"), "")
-    up = pa.array([""], pa.string()).take(pa.array([0] * len(child), pa.int32())) if paths is None else paths.take(parent)
+    up = pa.repeat(pa.scalar("", pa.string()), len(child)) if paths is None else paths.take(parent)
     path = own if paths is None else pc.binary_join_element_wise(up, own, ".")
     array_path = f"{above}.{node.name}" if above else node.name
-    tag = pa.DictionaryArray.from_arrays(pa.array([0] * len(child), pa.int32()), pa.array([array_path])).dictionary_decode()
+    tag = pa.repeat(pa.scalar(array_path, pa.string()), len(child))
     yield pa.RecordBatch.from_arrays([rec, tag, path, up, pc.struct_field(child, "label")], names=ELEMENT.fieldNames())
     for i, c in enumerate(node.children):
         yield from _emit(pc.struct_field(child, c.name), rec, path, c, array_path)
