@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ MAX_WINDOWS = 1000
 K1, B = 1.2, 0.75
 #: Share of a capacity that may stay free without another search.
 SLACK = 0.005
-_TERM = re.compile(r"[^\W_]{2,40}")
+_TERM = re.compile(r"\w\w+")
 
 ITEM = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("topic", T.StringType()), T.StructField("n_tokens", T.LongType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("tfs", T.ArrayType(T.IntegerType()))]
@@ -82,6 +83,14 @@ class Index:
         places, ends = np.searchsorted(self.vocab, flat), np.cumsum(sizes)
         self.n, self.places = n, [places[e - k : e] for e, k in zip(ends, sizes)]
 
+    def without(self, used: np.ndarray) -> Index:
+        """The same index without the postings of the used documents."""
+        out = copy(self)
+        keep = ~used[self.docs]
+        before = np.r_[0, np.cumsum(keep)]
+        out.docs, out.impact, out.starts, out.stops = self.docs[keep], self.impact[keep], before[self.starts], before[self.stops]
+        return out
+
     def scores(self, doc: int) -> np.ndarray:
         """BM25 of every document of the shard for the terms of ``doc``."""
         at = self.places[doc]
@@ -120,7 +129,10 @@ def fill_windows(sizes: list[int], index: Index, capacity: int) -> list[list[tup
         left[d] = 0
         return (d, first // capacity, first, first + size)
 
+    indexed = len(free)
     while free:
+        if len(free) < 0.8 * indexed:  # postings of used documents are dropped now and then
+            index, indexed = index.without(left == 0), len(free)
         seed = free[-1][1]
         window, room = [take(seed)], capacity - rest[seed][0]
         if free and room > SLACK * capacity and room >= free[0][0]:
