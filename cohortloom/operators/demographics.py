@@ -24,6 +24,49 @@ TIERS_INFERRED = ("B1", "B2", "C1", "C2", "C3", "D1", "D2")
 REGISTRIES = [("CTRI", "India"), ("JRCT", "Japan"), ("CFDA", "China"), ("NMPA", "China"), ("ANZCTR", "Australia")]
 COLUMNS = ("nct_id", "arm_label", "demog_tier", "demog_confidence", "inferred_population", "inferred_diversity_pct", "demog_source_evidence", "fallback_trial_level")
 
+# fixed values: the reference's monoethnic_countries.csv (country, dominant ancestry, region, whether it is left out as diverse)
+COUNTRIES = [
+    ("Japan", "East Asian (Japanese)", "East Asia", False),
+    ("South Korea", "East Asian (Korean)", "East Asia", False),
+    ("China", "East Asian (Han)", "East Asia", False),
+    ("Taiwan", "East Asian (Han)", "East Asia", False),
+    ("Vietnam", "Southeast Asian (Kinh)", "Southeast Asia", False),
+    ("Thailand", "Southeast Asian (Thai)", "Southeast Asia", False),
+    ("Mongolia", "East Asian (Mongol)", "East Asia", False),
+    ("India", "South Asian", "South Asia", False),
+    ("Bangladesh", "South Asian (Bengali)", "South Asia", False),
+    ("Pakistan", "South Asian", "South Asia", False),
+    ("Iran", "Middle Eastern (Persian)", "Middle East", True),
+    ("Saudi Arabia", "Middle Eastern (Arab)", "Middle East", False),
+    ("Turkey", "Middle Eastern (Turkic)", "Middle East", False),
+    ("Israel", "Mixed (Jewish majority)", "Middle East", True),
+    ("Egypt", "North African (Arab)", "North Africa", False),
+    ("Nigeria", "Sub-Saharan African", "West Africa", True),
+    ("Ethiopia", "East African", "East Africa", True),
+    ("South Africa", "Mixed", "Southern Africa", True),
+    ("Poland", "European (Polish)", "Eastern Europe", False),
+    ("Germany", "European (German)", "Western Europe", True),
+    ("France", "European (French)", "Western Europe", True),
+    ("Italy", "European (Italian)", "Southern Europe", False),
+    ("Spain", "European (Spanish)", "Southern Europe", False),
+    ("Netherlands", "European (Dutch)", "Western Europe", True),
+    ("Sweden", "European (Nordic)", "Northern Europe", False),
+    ("Finland", "European (Finnish)", "Northern Europe", False),
+    ("Hungary", "European (Hungarian)", "Eastern Europe", False),
+    ("Czech Republic", "European (Czech)", "Eastern Europe", False),
+    ("Russia", "European (Russian)", "Eastern Europe", True),
+    ("United States", "Mixed", "North America", True),
+    ("Canada", "Mixed", "North America", True),
+    ("Mexico", "Latin American (Mestizo)", "Central America", True),
+    ("Brazil", "Mixed", "South America", True),
+    ("Argentina", "European-descent Latin American", "South America", False),
+    ("Chile", "Latin American (Mestizo)", "South America", False),
+    ("Australia", "Mixed", "Oceania", True),
+    ("New Zealand", "Mixed", "Oceania", True),
+    ("United Kingdom", "Mixed", "Western Europe", True),
+    ("Ireland", "European (Irish)", "Western Europe", False),
+]
+
 
 def _row(tier: Column | str, confidence: Column | str | None, population: Column, share: Column | None, evidence: Column, trial_level: bool, arm: Column | None = None) -> list[Column]:
     lit = lambda x: x if isinstance(x, Column) else F.lit(x).cast("string")

@@ -808,8 +808,7 @@ def _(s, d):
     t = studies.trial_rows(st).where("nct_id is not null").dropDuplicates(["nct_id"])
     t = t.withColumn("site_countries", F.from_json("countries", "array<string>")).withColumn("secondary_ids", F.from_json("secondary_ids", "array<struct<id: string, type: string, domain: string>>"))
     b = studies.baseline_rows(st).withColumn("ord", F.xxhash64("category", "value"))
-    rows = [("Japan", "East Asian", "East Asia", False), ("China", "East Asian", "East Asia", False), ("Poland", "European", "Eastern Europe", False), ("Italy", "European", "Southern Europe", False), ("United States", "mixed", "North America", True), ("India", "South Asian", "South Asia", False)]
-    dim = s.createDataFrame(rows, "country_name string, dominant_ancestry string, region string, in_diverse_exclusion_list boolean")
+    dim = s.createDataFrame(demographics.COUNTRIES, "country_name string, dominant_ancestry string, region string, in_diverse_exclusion_list boolean")
     return demographics.with_diversity_flag(demographics.cascade(t, b, dim))
 
 

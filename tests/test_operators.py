@@ -224,3 +224,16 @@ def test_joins_with_nulls_and_flags(spark):
 def test_text_functions_on_odd_values(spark, value):
     for fn in (X.title_key, X.arm_key, X.drug_key, X.intervention_name, X.without_salts, X.biomarker_signal, X.population_mention, X.adverse_events, X.soc_category, X.regulatory_date, X.first_integer, X.needs_model):
         one(spark, value, fn)
+
+
+def test_cascade_query_knows_all_countries_of_the_reference_list(spark):
+    import os
+
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    found = {r.inferred_population for r in entry.queries()["ref_t26_cascade"](spark, folder).where("demog_tier like 'C%'").collect()}
+    assert "European (Spanish)" in found and "East Asian (Japanese)" in found
+    assert len(demographics.COUNTRIES) == len({c[0] for c in demographics.COUNTRIES}) == 39
