@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 RUNS = "run_id string, started_at timestamp, completed_at timestamp, status string, inserted long, updated long, unchanged long, errors long, duration_seconds double, error string"
 
+#: Measures of a report, which the driver holds, at most.
+MAX_MEASURES = 1000
+
 
 def start_run(spark: SparkSession, runs: DataFrame | None, run_id: str, now: Column) -> DataFrame:
     """The log with one more running run."""
@@ -26,6 +29,9 @@ def complete_run(runs: DataFrame, run_id: str, stats: DataFrame, now: Column, er
 
 
 def text_report(measures: DataFrame, title: str) -> str:
-    """A report (measure, value) as lines of text; the report is small by its nature."""
-    lines = [f"{r['measure']}: {r['value']}" for r in measures.orderBy("measure").limit(1000).collect()]
+    """A report (measure, value) as lines of text; one beyond MAX_MEASURES is refused, not cut."""
+    rows = measures.orderBy("measure").limit(MAX_MEASURES + 1).collect()
+    if len(rows) > MAX_MEASURES:
+        raise ValueError(f"the report has more than {MAX_MEASURES} measures")
+    lines = [f"{r['measure']}: {r['value']}" for r in rows]
     return "\n".join([title, "=" * len(title), *lines])

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Measures of a report, which the driver holds, at most.
+MAX_MEASURES = 10_000
+
 
 def flat_columns(df: DataFrame, sep: str = ", ", first: tuple[str, ...] = ()) -> DataFrame:
     """Every column as text or number: lists of text joined, anything nested as JSON; ``first`` columns lead."""
@@ -66,6 +69,9 @@ class TableStore:
 
 
 def summary_file(report: DataFrame, path: str) -> None:
-    """A small report (measure, value) as one JSON object."""
+    """A small report (measure, value) as one JSON object; one beyond MAX_MEASURES is refused, not cut."""
+    rows = report.limit(MAX_MEASURES + 1).collect()
+    if len(rows) > MAX_MEASURES:
+        raise ValueError(f"the report has more than {MAX_MEASURES} measures")
     with open(path, "w", encoding="utf-8") as f:
-        json.dump({r["measure"]: r["value"] for r in report.limit(10_000).collect()}, f, indent=2, ensure_ascii=False, default=str)
+        json.dump({r["measure"]: r["value"] for r in rows}, f, indent=2, ensure_ascii=False, default=str)

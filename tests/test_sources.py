@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators.scd2 import current_versions
@@ -104,3 +105,14 @@ def test_incremental_upserts_equal_batches(spark, tmp_path):
 def test_windowed_counts(spark):
     e = spark.createDataFrame([("a", "2024-01-01 00:01:00"), ("a", "2024-01-01 00:09:00"), ("b", "2024-01-01 00:11:00")], "k string, t string").withColumn("t", F.to_timestamp("t"))
     assert sorted(r.n for r in windowed_counts(e, "t", "10 minutes", "1 hour", "k").collect()) == [1, 2]
+
+
+def test_report_beyond_its_bound_is_refused(spark, tmp_path):
+    from cohortloom.operators.runs import text_report
+
+    many = spark.range(10_001).selectExpr("concat('m', id) as measure", "id as value")
+    with pytest.raises(ValueError):
+        summary_file(many, str(tmp_path / "s.json"))
+    with pytest.raises(ValueError):
+        text_report(many.limit(1001), "Report")
+    assert not (tmp_path / "s.json").exists() and len(text_report(many.limit(1000), "Report").split("\n")) == 1002
