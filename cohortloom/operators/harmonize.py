@@ -121,7 +121,7 @@ def merged_rows(rows: DataFrame, row_id: str, names: str) -> DataFrame:
 
     exploded = rows.select(F.col(row_id).cast("string").alias("r"), F.explode(names).alias("n")).where(F.trim("n") != "")
     groups = synonym_groups(exploded.select(F.concat(F.lit("row "), "r").alias("a"), F.concat(F.lit("zname "), F.lower(F.trim("n"))).alias("b")))
-    found = groups.where(F.col("name").startswith("row ")).select(F.substring("name", 5, 1000).alias("_r"), F.substring("root", 5, 1000).alias("group"))
+    found = groups.where(F.col("name").startswith("row ")).select(F.expr("substring(name, 5)").alias("_r"), F.expr("substring(root, 5)").alias("group"))
     return rows.select(F.col(row_id), F.col(row_id).cast("string").alias("_r")).join(found, "_r", "left").select(row_id, F.coalesce("group", "_r").alias("group"))
 
 

@@ -237,3 +237,9 @@ def test_cascade_query_knows_all_countries_of_the_reference_list(spark):
     found = {r.inferred_population for r in entry.queries()["ref_t26_cascade"](spark, folder).where("demog_tier like 'C%'").collect()}
     assert "European (Spanish)" in found and "East Asian (Japanese)" in found
     assert len(demographics.COUNTRIES) == len({c[0] for c in demographics.COUNTRIES}) == 39
+
+
+def test_merged_rows_keep_long_ids_whole(spark):
+    a, b = "x" * 1500 + "a", "x" * 1500 + "b"
+    rows = spark.createDataFrame([(a, ["one"]), (b, ["One", "two"]), ("c", ["three"])], "id string, names array<string>")
+    assert {r.id: r.group for r in harmonize.merged_rows(rows, "id", "names").collect()} == {a: a, b: a, "c": "c"}
