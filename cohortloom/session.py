@@ -49,10 +49,13 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; set to a private folder only where it is unset.
 
-    The setting is read from the session, because on a cluster it names storage that all executors share.
+    The setting is read from the session, because on a cluster it names storage that all executors share. Without
+    it only a local master gets a folder of its own; anything else is refused, as executors could not read it.
     """
     value = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not value:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         value = "file://" + tempfile.mkdtemp(prefix="cohortloom-", dir=os.environ.get("TMPDIR"))
         spark.conf.set("spark.checkpoint.dir", value)
     return value.rstrip("/")
@@ -81,6 +84,12 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least one task a core: rows that cost much CPU for few bytes would else be coalesced into a few."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     ship_package(spark)
