@@ -6,7 +6,8 @@ from cohortloom.llm import canonical, components, linkage, packing, reading, tok
 from cohortloom.session import table
 
 QUERIES = {
-    "p3_found": lambda spark, d: canonical.typed_products(table(spark, d, "clinical_trials"), table(spark, d, "harmonized_drug_queries"), table(spark, d, "drug_reference")),
+    "p3_found": lambda spark, d: canonical.typed_products(table(spark, d, "clinical_trials"), table(spark, d, "harmonized_drug_queries"), table(spark, d, "drug_reference")).select("entered_value", "canonical_name"),
+    "p3_candidates": lambda spark, d: canonical.typed_products(table(spark, d, "clinical_trials"), table(spark, d, "harmonized_drug_queries"), table(spark, d, "drug_reference"), every=True),
     "p4_found": lambda spark, d: linkage.matched_pairs(table(spark, d, "enriched_trials"), table(spark, d, "drug_reference"), calibrate=False).select("trial_id_a", "trial_id_b"),
     "p4_confidence": lambda spark, d: linkage.matched_pairs(table(spark, d, "enriched_trials"), table(spark, d, "drug_reference")),
     "p5_found": lambda spark, d: variants.sponsor_pairs(table(spark, d, "enriched_trials")),

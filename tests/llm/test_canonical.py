@@ -34,12 +34,28 @@ def test_blank_null_repeated_long_and_empty(spark):
     assert run(spark, []) == {}
 
 
-def test_too_long_a_reference_list_is_refused(spark, monkeypatch):
+def test_a_list_beyond_one_trie_is_searched_in_shards(spark, monkeypatch):
     import cohortloom.llm.canonical as m
 
-    monkeypatch.setattr(m, "MAX_ENTRIES", 3)
-    with pytest.raises(ValueError):
-        run(spark, ["x"])
+    values = ["quuske gliptin", "skergruhokinra", "brodobril/ZK-5084", "placebo", "nothing of it", "Quathixiq"]
+    whole = run(spark, values)
+    monkeypatch.setattr(m, "MAX_ENTRIES", 2)
+    monkeypatch.setattr(m, "WORDS_A_GROUP", 3)
+    assert run(spark, values) == whole and whole["brodobril/ZK-5084"] == ["brodobril", "skegruhokinra"]
+
+
+def test_names_in_many_pieces_long_names_and_shared_aliases(spark):
+    long = "ab" * 40
+    ref = [("alpha beta gamma delta", "1", "[]"), (long, "2", "[]"), ("brodobril", "3", '["Chasnuxa"]'), ("skegruhokinra", "4", '["Chasnuxa"]')]
+    assert run(spark, ["alpha beta gamma delta", "al pha be ta gam ma del ta", long, long[:30] + " " + long[30:-1] + "x", "chasnuxa"], ref) == {
+        "alpha beta gamma delta": ["alpha beta gamma delta"], "al pha be ta gam ma del ta": ["alpha beta gamma delta"], long: [long], long[:30] + " " + long[30:-1] + "x": [long], "chasnuxa": ["brodobril", "skegruhokinra"],
+    }
+
+
+def test_every_entry_within_the_distance(spark):
+    v = spark.createDataFrame([("brodobrol",), ("nothing",)], "value string")
+    ref = spark.createDataFrame([("brodobril", "[]"), ("brodobrel", "[]"), ("other", "[]")], "canonical_name string, aliases string")
+    assert {(r.canonical_name, r.distance) for r in match_values(v, ref, every=True).collect()} == {("brodobril", 1), ("brodobrel", 1)}
 
 
 def _distance(a, b):
@@ -54,8 +70,8 @@ def _distance(a, b):
 def test_trie_finds_exactly_what_brute_force_finds():
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
-    entries = {word(rng.randint(1, 14)): "p" for _ in range(150)} | {"ab1234": "code"}
-    words = sorted({word(rng.randint(1, 14)) for _ in range(300)} | {"ab1234", "ab1235"})
+    entries = {word(rng.randint(1, 14)): ("p",) for _ in range(150)} | {"ab1234": ("code",), "abcd" * 17: ("long",)}
+    words = sorted({word(rng.randint(1, 14)) for _ in range(300)} | {"ab1234", "ab1235", "abcd" * 17, "abcd" * 16 + "acd", "abcd" * 16})
     found = Trie(entries).search(words)
     for w in words:
         want = {(d, k) for k in entries if (d := _distance(w, k)) <= min(reach(w), allowed(k))}
