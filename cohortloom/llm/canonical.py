@@ -36,12 +36,17 @@ _CODE = re.compile(r"^([a-z]{1,4})0*(\d+)$")
 _TYPED_CODE = re.compile(r"(?<![a-z0-9])([a-z]{2,3})[\s_\-\u2010-\u2015\u2212]*(\d{3,6})(?![a-z0-9])")
 
 
+_MARK = re.compile(r"[®™©]|\((?:r|tm|c)\)", re.I)
+_QUOTE = re.compile(r"[\"'`‘“”]")
+
+
 def plain(value: str) -> str:
     """Lower case without accents, trade marks, quotes and typographic hyphens."""
-    value = re.sub(r"[®™©]|\((?:r|tm|c)\)", " ", value, flags=re.I).replace("’", "'")
-    value = unicodedata.normalize("NFKD", value)
-    value = "".join(c for c in value if not unicodedata.combining(c)).casefold()
-    return " ".join(re.sub(r"[\"'`‘“”]", "", value).replace("µ", "u").split())
+    value = _MARK.sub(" ", value)
+    if not value.isascii():
+        value = unicodedata.normalize("NFKD", value.replace("’", "'"))
+        value = "".join(c for c in value if not unicodedata.combining(c)).replace("µ", "u")
+    return " ".join(_QUOTE.sub("", value.casefold().replace("µ", "u")).split())
 
 
 def key_of(word: str) -> str:
