@@ -106,14 +106,19 @@ def _join_runs(left: Column, right: Column) -> Column:
     )
 
 
+#: Neighbouring nodes of the tree that one task joins, pair by pair, in a round.
+FAN_IN = 16
+
+
 def coalesce_history(df: DataFrame, entity: str, observed_at: str, written_at: str, tie: str, payload: dict[str, Column]) -> DataFrame:
     """Versions of each entity: entity, payload (JSON of the compared values), valid_from, last_seen, valid_to, observations.
 
     Each kept observation is a unit interval. Neighbouring runs of one entity with an equal payload are merged
-    pairwise: inside the ordered partitions by column kernels, then across partitions over a binary tree with a
-    logarithmic number of rounds, whose nodes hold only the open runs at partition edges (at most two for each
-    partition, whatever the data's size). Partitions are ranges of (entity, time), so one hot entity spreads
-    over many tasks, and copies are combined map-side before anything is shuffled.
+    pairwise: inside the ordered partitions by column kernels, then across partitions over a tree with a logarithmic
+    number of rounds. A node passes on only its first and its last run, which may go on in a neighbour; the runs
+    between them are closed and leave the tree in that round, so no node grows with the data. Partitions are ranges
+    of (entity, time), so one hot entity spreads over many tasks, and copies are combined map-side before anything is
+    shuffled.
 
     Rows whose entity or observation time is null or blank are no observations. Of rows with the same entity and
     time the latest written holds (null written_at is earliest), then the largest ``tie``. ``valid_to`` is the
@@ -131,24 +136,23 @@ def coalesce_history(df: DataFrame, entity: str, observed_at: str, written_at: s
     ordered = obs.repartitionByRange("entity", "ts").sortWithinPartitions("entity", "ts")
     runs = materialize(ordered.mapInArrow(_local_runs, T.StructType([*RUN.fields, T.StructField("edge", T.LongType())])), "runs")
     closed = runs.where(F.col("edge").isNull()).select(*_FIELDS)
-    # only non-empty partitions have edges: number them densely, so that neighbours differ in the last bit
-    leaves = (
-        runs.where(F.col("edge").isNotNull()).groupBy("edge")
-        .agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in ("valid_from",)], F.struct(*_FIELDS).alias("r")))).alias("rs"), F.min(F.struct("entity", "valid_from")).alias("k"))
-    )
-    count = leaves.count()
-    # a partition has at most two edge runs; ordered by (entity, time)
-    node = leaves.select(F.col("edge").alias("node"), F.array_sort(F.transform("rs", lambda x: x["r"]), lambda x, y: F.when(x["entity"] < y["entity"], -1).when(x["entity"] > y["entity"], 1).when(x["valid_from"] < y["valid_from"], -1).otherwise(1)).alias("runs"))
-    if count:
-        top = int(runs.agg(F.max("edge")).first()[0])
-        while top > 0:
-            pair = node.groupBy(F.shiftright("node", 1).alias("node")).agg(
-                F.max(F.when(F.col("node") % 2 == 0, F.col("runs"))).alias("l"), F.max(F.when(F.col("node") % 2 == 1, F.col("runs"))).alias("r")
-            )
-            node = pair.select("node", F.when(F.col("l").isNull(), F.col("r")).when(F.col("r").isNull(), F.col("l")).otherwise(_join_runs(F.col("l"), F.col("r"))).alias("runs"))
-            top >>= 1
-    edges = node.select(F.inline("runs"))
-    return closed.unionByName(edges.select(*_FIELDS))
+    # a partition has at most two edge runs, in the order of (entity, time)
+    before = lambda x, y: F.when(x["entity"] < y["entity"], -1).when(x["entity"] > y["entity"], 1).when(x["valid_from"] < y["valid_from"], -1).otherwise(1)
+    edges = runs.where(F.col("edge").isNotNull())
+    node = edges.groupBy(F.col("edge").alias("node")).agg(F.array_sort(F.collect_list(F.struct(*_FIELDS)), before).alias("runs"))
+    top = edges.agg(F.max("edge")).first()[0] or 0
+    none = F.array().cast(T.ArrayType(RUN))
+    while top > 0:
+        group = node.groupBy(F.floor(F.col("node") / FAN_IN).cast("long").alias("node")).agg(F.array_sort(F.collect_list(F.struct("node", "runs"))).alias("parts"))
+        joined = group.select("node", F.aggregate("parts", none, lambda t, x: _join_runs(t, x["runs"])).alias("runs"))
+        top //= FAN_IN
+        if top > 0:  # at the root everything is closed
+            joined = materialize(joined, "joined")
+            closed = closed.unionByName(joined.select(F.inline(F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 2, F.lit(0))))).select(*_FIELDS))
+            ends = F.when(F.size("runs") > 2, F.array(F.get("runs", 0), F.try_element_at("runs", F.lit(-1)))).otherwise(F.col("runs"))
+            joined = joined.select("node", ends.alias("runs"))
+        node = joined
+    return closed.unionByName(node.select(F.inline("runs")).select(*_FIELDS))
 
 
 def trial_versions(snapshots: DataFrame) -> DataFrame:

@@ -31,6 +31,9 @@ class Node:
     def arrow(self) -> pa.DataType:
         return pa.list_(pa.struct([("label", pa.string()), *[(c.name, c.arrow()) for c in self.children]]))
 
+    def spark(self) -> T.DataType:
+        return T.ArrayType(T.StructType([T.StructField("label", T.StringType()), *[T.StructField(c.name, c.spark()) for c in self.children]]))
+
 
 US_STUDY = (
     Node("secondaryIdInfos", ("id",)),
@@ -53,9 +56,7 @@ ELEMENT = T.StructType([T.StructField(c, T.StringType()) for c in ("record_id",
 
 def _inside(value: Any) -> Any:
     """The object or array that a string holds as JSON text, else the value itself."""
-    for _ in range(3):
-        if not (isinstance(value, str) and value.lstrip()[:1] in ("{", "[", '"')):
-            break
+    while isinstance(value, str) and value.lstrip()[:1] in ("{", "[", '"'):  # every layer is shorter than the one around it
         try:
             inner = json.loads(value, parse_float=str, parse_int=str)
         except ValueError:
@@ -79,7 +80,26 @@ def read_record(text: str | None) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
-def _find(record: dict, names: set[str]) -> dict[str, Any]:
+def _mentions(value: Any, key: str) -> bool:
+    """Whether a plain value anywhere in the record is the key."""
+    if isinstance(value, dict):
+        return any(_mentions(v, key) for v in value.values())
+    if isinstance(value, list):
+        return any(_mentions(v, key) for v in value)
+    if isinstance(value, str) and value[:1] in ("{", "[") and isinstance(inner := _inside(value), (dict, list)):
+        return _mentions(inner, key)
+    return value == key
+
+
+def of_several(studies: list, key: str | None) -> list[dict]:
+    """The study of a wrapper that the record is about: the one with its id, else the first."""
+    found = [x for x in map(_inside, studies) if isinstance(x, dict)]
+    if len(found) > 1 and key:
+        found = [x for x in found if _mentions(x, key)] or found
+    return found[:1]
+
+
+def _find(record: dict, names: set[str], key: str | None = None) -> dict[str, Any]:
     """The values of the named keys, wherever the enclosing modules and wrappers put them; the outermost wins."""
     found: dict[str, Any] = {}
     level: list[dict] = [record]
@@ -95,7 +115,7 @@ def _find(record: dict, names: set[str]) -> dict[str, Any]:
                 if isinstance(v, dict):
                     deeper.append(v)
                 elif k == "studies" and isinstance(v, list):
-                    deeper += [x for x in map(_inside, v) if isinstance(x, dict)][:1]
+                    deeper += of_several(v, key)
         level = deeper
     return found
 
@@ -157,70 +177,85 @@ def _emit(lists: pa.ListArray, keys: pa.Array, paths: pa.Array | None, node: Nod
         yield from _emit(pc.struct_field(child, c.name), rec, path, c, array_path)
 
 
-def flatten_elements(df: DataFrame, key: str, text: str, nodes: tuple[Node, ...]) -> DataFrame:
-    """One row for each element of the arrays named by ``nodes``: record_id, array_path, node_path, parent_path, label.
+def shaped_records(df: DataFrame, nodes: tuple[Node, ...], text: str, key: str) -> DataFrame:
+    """The rows of ``df`` whose text can be read, with one list column for each of ``nodes`` instead of the text.
 
-    JSON text is decoded once into Arrow list buffers; from there on no row is parsed: the children of a whole batch
-    are one flattened buffer, their places come from the list offsets, and keys and paths go down by take on the
-    parent indices. Narrow: nothing is shuffled. Unreadable, null and blank texts give no rows.
+    This is the only pass that parses: JSON text is decoded once, straight into Arrow list buffers. If a text wraps
+    several studies, the one with the row's key counts, else the first. Narrow: nothing is shuffled.
     """
+    keep = [c for c in df.columns if c != text]
     shape = pa.struct([(n.name, n.arrow()) for n in nodes])
     names = {n.name for n in nodes}
-
-    def flush(keys: list, records: list) -> Iterator[pa.RecordBatch]:
-        whole = pa.array(records, shape)
-        ids = pa.array(keys, pa.string())
-        for i, n in enumerate(nodes):
-            yield from _emit(whole.field(i), ids, None, n, "")
+    kept, at = df.select(*keep, text), keep.index(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, records, size = [], [], 0
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = batch.column(at).to_pylist()
+            rows, records, size = [], [], 0
+
+            def flush() -> pa.RecordBatch:
+                whole = pa.array(records, shape)  # noqa: B023
+                place = pa.array(rows, pa.int64())  # noqa: B023
+                return pa.RecordBatch.from_arrays([*[c.take(place) for c in batch.columns[: len(keep)]], *whole.flatten()], names=[*keep, *[n.name for n in nodes]])  # noqa: B023
+
+            for i, t in enumerate(batch.column(len(keep))):
                 t = t.as_buffer().to_pybytes().decode("utf-8", "replace") if t.is_valid else None
                 if (rec := read_record(t)) is None:
                     continue
-                found = _find(rec, names)
-                keys.append(k)
+                found = _find(rec, names, ids[i])
+                rows.append(i)
                 records.append({n.name: _shape(found.get(n.name), n) for n in nodes})
                 size += len(t)
                 if size >= GROUP_BYTES:
-                    yield from flush(keys, records)
-                    keys, records, size = [], [], 0
-        if keys:
-            yield from flush(keys, records)
+                    yield flush()
+                    rows, records, size = [], [], 0
+            if rows:
+                yield flush()
 
-    return df.select(F.col(key).cast("string"), F.col(text)).mapInArrow(run, ELEMENT)
+    return kept.mapInArrow(run, T.StructType([*[kept.schema[c] for c in keep], *[T.StructField(n.name, n.spark()) for n in nodes]]))
 
 
-def latest_readable(df: DataFrame, key: str, text: str, fetched_at: str, row_id: str) -> DataFrame:
-    """The most recently fetched readable row of each key (ties: largest row id); rows without key are left out.
+def elements(records: DataFrame, key: str, nodes: tuple[Node, ...]) -> DataFrame:
+    """One row for each element of the list columns named by ``nodes``: record_id, array_path, node_path, parent_path, label.
 
-    The first pass reads only which rows are readable; the rows that another one replaces, usually few, are then
-    anti-joined away by their ids, so the long texts themselves are shuffled only if those ids can't be broadcast.
+    No row is looked at: the children of a whole batch are one flattened buffer, their places come from the list
+    offsets, and keys and paths go down by take on the parent indices.
     """
 
-    def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [t.is_valid and read_record(t.as_buffer().to_pybytes().decode("utf-8", "replace")) is not None for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(ok, pa.bool_())], names=["k", "f", "r", "ok"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, n in enumerate(nodes):
+                yield from _emit(batch.column(i + 1), batch.column(0), None, n, "")
+
+    return records.select(F.col(key).cast("string"), *[n.name for n in nodes]).mapInArrow(run, ELEMENT)
 
-    keyed = df.where(F.col(key).isNotNull() & (F.trim(F.col(key)) != ""))
-    narrow = keyed.select(F.col(key).alias("k"), F.col(fetched_at).alias("f"), F.col(row_id).alias("r"), F.col(text).alias("t"))
-    rows = materialize(narrow.mapInArrow(readable, T.StructType([narrow.schema["k"], narrow.schema["f"], narrow.schema["r"], T.StructField("ok", T.BooleanType())])), "readable")
-    best = rows.where("ok").groupBy("k").agg(F.max(F.struct("f", "r")).alias("b")).select("k", F.col("b.r").alias("best"))
-    replaced = rows.join(best, "k", "left").where(~F.col("ok") | F.col("best").isNull() | (F.col("r") != F.col("best"))).select(F.col("r").alias(row_id))
-    return keyed.join(replaced, row_id, "left_anti")
+
+def flatten_elements(df: DataFrame, key: str, text: str, nodes: tuple[Node, ...]) -> DataFrame:
+    """The elements of every readable text of ``df``; unreadable, null and blank texts give no rows."""
+    return elements(shaped_records(df.select(F.col(key).cast("string").alias(key), F.col(text).alias(text)), nodes, text, key), key, nodes)
+
+
+def latest_elements(df: DataFrame, key: str, text: str, fetched_at: str, row_id: str, nodes: tuple[Node, ...]) -> DataFrame:
+    """The elements of the most recently fetched readable row of each key (ties: largest row id); rows without key are left out.
+
+    Every text is parsed once, into a table of lists; the rows that another one replaces, usually few, are anti-joined
+    away from it by their ids, so the lists themselves are shuffled only if those ids can't be broadcast.
+    """
+    keyed = df.where(F.col(key).isNotNull() & (F.trim(F.col(key)) != "")).select(F.col(key).cast("string").alias("k"), F.col(fetched_at).alias("f"), F.col(row_id).alias("r"), F.col(text).alias("t"))
+    rows = materialize(shaped_records(keyed, nodes, "t", "k"), "records")
+    best = rows.groupBy("k").agg(F.max(F.struct("f", "r")).alias("b")).select("k", F.col("b.r").alias("best"))
+    replaced = rows.select("k", "r").join(best, "k").where("r <> best").select("r")
+    return elements(rows.join(replaced, "r", "left_anti"), "k", nodes)
 
 
 def us_elements(trials: DataFrame) -> DataFrame:
     """Elements of the newest readable raw_study of each nct_id."""
-    return flatten_elements(latest_readable(trials, "nct_id", "raw_study", "fetched_at", "row_id"), "nct_id", "raw_study", US_STUDY)
+    return latest_elements(trials, "nct_id", "raw_study", "fetched_at", "row_id", US_STUDY)
 
 
 def eu_elements(trials: DataFrame) -> DataFrame:
     """Elements of the newest readable raw_trial of each eudract_number."""
-    return flatten_elements(latest_readable(trials, "eudract_number", "raw_trial", "fetched_at", "row_id"), "eudract_number", "raw_trial", EU_TRIAL)
+    return latest_elements(trials, "eudract_number", "raw_trial", "fetched_at", "row_id", EU_TRIAL)
 
 
 def record_elements(us: DataFrame, eu: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions.dates import canonical_date
+from cohortloom.operators import history
 from cohortloom.operators.history import coalesce_history, trial_versions, version_starts
 from cohortloom.session import table
 
@@ -40,7 +42,8 @@ def test_empty_table(spark):
     assert starts(spark, []) == []
 
 
-def test_periods_of_a_hot_entity_join_across_partitions(spark):
+@pytest.mark.parametrize("parts, fan_in", [(13, 16), (13, 2), (40, 3)])
+def test_periods_of_a_hot_entity_join_across_partitions(spark, monkeypatch, parts, fan_in):
     random.seed(3)
     items, want, prev = [], [], None
     for i in range(4000):
@@ -52,7 +55,8 @@ def test_periods_of_a_hot_entity_join_across_partitions(spark):
     items += [("COLD", "a", 1, None, T0, T0)] * 500  # copies
     df = spark.createDataFrame(rows(*items), SCHEMA)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    monkeypatch.setattr(history, "FAN_IN", fan_in)
     try:
         got = {(r.entity, r.valid_from): r for r in trial_versions(df).collect()}
     finally:

@@ -45,6 +45,18 @@ def test_wrappers_and_text_modules_give_the_same_rows(spark):
     assert len(got) == 2 * len(forms) and len({r[1:] for r in got}) == 2
 
 
+def test_a_wrapper_of_several_studies_and_many_layers_of_text(spark):
+    def one(nct, label):
+        return {"protocolSection": {"identificationModule": {"nctId": nct}, "armsInterventionsModule": {"armGroups": [{"label": label}]}}}
+
+    text = json.dumps({"studies": [one("N1", "a"), json.dumps(one("N2", "b"))]})
+    layers = json.dumps(one("N4", "d"))
+    for _ in range(6):
+        layers = json.dumps(layers)
+    got = run(spark, [(1, "N1", text, DAY[0], ""), (2, "N2", text, DAY[0], ""), (3, "N3", text, DAY[0], ""), (4, "N4", layers, DAY[0], "")])
+    assert [(r[0], r[3]) for r in got] == [("N1", "a"), ("N2", "b"), ("N3", "a"), ("N4", "d")]
+
+
 def test_newest_readable_record_holds(spark):
     one, two = json.dumps(study(armGroups=[{"label": "old"}])), json.dumps(study(armGroups=[{"label": "new"}]))
     us = [(1, "N", one, DAY[0], ""), (2, "N", two, DAY[1], ""), (3, "N", two[:-9], DAY[2], ""), (4, "N", None, DAY[3], ""), (5, "N", "", DAY[3], ""), (6, None, one, DAY[0], ""), (7, "", one, DAY[0], ""), (8, "M", "{broken", DAY[0], "")]
