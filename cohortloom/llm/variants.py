@@ -15,14 +15,16 @@ from pyspark.sql import types as T
 
 from cohortloom.llm.canonical import swaps
 from cohortloom.llm.components import connected_groups
-from cohortloom.session import materialize
+from cohortloom.session import materialize, spread
 
-#: Length of the character n-grams.
-NGRAM = 3
+#: Lengths of the character n-grams; those of two letters are also taken without their order, which bears exchanged letters.
+NGRAMS = (2, 3)
 #: Least cosine of a candidate pair; the join is exact above it.
-COSINE = 0.25
-#: Least average similarity at which two clusters are joined; pairs that fail threshold or exact check count as 0.
+COSINE = 0.27
+#: Least average cosine at which two clusters are joined; pairs that fail threshold or exact check count as 0.
 LINKAGE = 0.2
+#: A component of more edges is clustered in rounds over tables instead of in one task.
+TASK_EDGES = 200_000
 #: Weight of n-grams of words that name a kind of organisation or a given name, against 1 for the name itself.
 COMMON_WEIGHT = 0.3
 
@@ -160,8 +162,8 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for words, w in ((name, 1.0), (given, COMMON_WEIGHT), (kinds, COMMON_WEIGHT)):
                 for word in words.split():
                     padded = f"#{word}#"
-                    for k in range(max(1, len(padded) - NGRAM + 1)):
-                        g = padded[k : k + NGRAM]
+                    found = [padded[k : k + n] for n in NGRAMS for k in range(max(1, len(padded) - n + 1))]
+                    for g in found + ["".join(sorted(padded[k : k + 2])) + "~" for k in range(len(padded) - 1)]:
                         own[g] = max(own.get(g, 0.0), w)
             ids += [i] * len(own)
             grams += own.keys()
@@ -170,12 +172,11 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar_forms(forms: DataFrame) -> DataFrame:
-    """(a, b, sim): pairs of forms whose n-gram cosine is at least COSINE and that pass the exact check; a < b.
-
-    ``sim`` is halfway between the cosine and 1, as the check already speaks for the pair.
+    """(a, b, sim): pairs of forms whose n-gram cosine ``sim`` is at least COSINE and that pass the exact check; a < b.
 
     The join is exact: each vector is indexed under its rarest n-grams only, until the rest of it is too short to
-    reach the threshold (prefix filter), so the n-grams that everybody has are never joined on.
+    reach the threshold (prefix filter), so the n-grams that everybody has are never joined on. There is no top-n, as
+    a cap would lose links.
     """
     # the n-grams are made by a narrow pass over distinct forms
     grams = materialize(forms.select("id", "name", "given", "kinds").mapInArrow(_grams, "id long, gram string, share double"), "grams")
@@ -193,20 +194,22 @@ def similar_forms(forms: DataFrame) -> DataFrame:
     )["g"].alias("gs")).select("id", F.explode("gs").alias("g"))
     pairs = prefix.select(F.col("id").alias("a"), "g").join(prefix.select(F.col("id").alias("b"), "g"), "g").where("a < b").select("a", "b").distinct()
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                va, vb = ({x["g"]: x["w"] for x in r[k]} for k in ("va", "vb"))
-                sim = sum(w * vb.get(g, 0.0) for g, w in va.items())
-                if sim >= COSINE and same_entity({k: r[k + "_a"] for k in ("name", "given", "kinds")}, {k: r[k + "_b"] for k in ("name", "given", "kinds")}):
-                    out.append((r["a"], r["b"], (1.0 + min(1.0, sim)) / 2))
-            yield pd.DataFrame(out, columns=["a", "b", "sim"])
+    def side(x: str) -> DataFrame:
+        return vectors.select(F.col("id").alias(x), F.col("v").alias("v" + x), *[F.col(k).alias(f"{k}_{x}") for k in ("name", "given", "kinds")])
+
+    # the dot product stays in the JVM; only pairs above the threshold reach the check
+    of_b = F.map_from_entries("vb")
+    met = spread(pairs).join(side("a"), "a").join(side("b"), "b").withColumn("mb", of_b)
+    met = met.withColumn("sim", F.least(F.lit(1.0), F.aggregate("va", F.lit(0.0), lambda t, x: t + x["w"] * F.coalesce(F.try_element_at("mb", x["g"]), F.lit(0.0))))).where(F.col("sim") >= COSINE)
 
-    def side(s: str) -> DataFrame:
-        return vectors.select(F.col("id").alias(s), F.col("v").alias("v" + s), *[F.col(k).alias(f"{k}_{s}") for k in ("name", "given", "kinds")])
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns[3:]]
+            ok = [same_entity({"name": na, "given": ga, "kinds": ka}, {"name": nb, "given": gb, "kinds": kb}) for na, ga, ka, nb, gb, kb in zip(*cols)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:3]], names=["a", "b", "sim"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(verify, "a long, b long, sim double")
+    parts = [f"{k}_{x}" for x in ("a", "b") for k in ("name", "given", "kinds")]
+    return met.select("a", "b", "sim", *parts).mapInArrow(verify, "a long, b long, sim double")
 
 
 def average_linkage(edges: list[tuple[int, int, float]], cut: float = LINKAGE) -> dict[int, int]:
@@ -242,21 +245,44 @@ def average_linkage(edges: list[tuple[int, int, float]], cut: float = LINKAGE) -
     return {i: min(m) for m in members.values() for i in m}
 
 
+def linkage_rounds(edges: DataFrame, cut: float = LINKAGE) -> DataFrame:
+    """(id, cluster) by the same average linkage, over tables: in each round all clusters that are each other's nearest are joined.
+
+    Joining two clusters brings neither nearer to a third than the nearer of them was, so reciprocal neighbours can
+    be joined at once. Nothing is ever whole in one task. Ties go to the edge with the smaller ids.
+    """
+    links = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("sim").alias("total")), "links")
+    sizes = materialize(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.lit(1).cast("long").alias("n")), "sizes")
+    where = sizes.select("id", F.col("id").alias("cluster"))
+    while True:
+        m = links.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
+        m = m.select("a", "b", F.struct((F.col("total") / (F.col("na") * F.col("nb"))).alias("s"), (-F.col("a")).alias("x"), (-F.col("b")).alias("y")).alias("k"))
+        best = m.unionByName(m.select(F.col("b").alias("a"), F.col("a").alias("b"), "k")).groupBy("a").agg(F.max("k").alias("k"))
+        pairs = best.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where((F.col("c") == 2) & (F.col("k.s") >= cut)).select((-F.col("k.y")).alias("id"), (-F.col("k.x")).alias("into"))
+        pairs = materialize(pairs, "joined")
+        if pairs.isEmpty():
+            return where
+        to = lambda df, c: df.join(pairs.select(F.col("id").alias(c), "into"), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")  # noqa: B023, E731
+        where = materialize(to(where, "cluster"), "where")
+        sizes = materialize(to(sizes, "id").groupBy("id").agg(F.sum("n").alias("n")), "sizes")
+        moved = to(to(links, "a"), "b").where("a <> b")
+        links = materialize(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")), "links")
+
+
 def spelling_clusters(names: DataFrame) -> DataFrame:
     """(spelling, cluster) of each distinct ``name``; spellings of one entity share the cluster.
 
     Null, blank and placeholder names ("Not specified") name nobody: they are a cluster of their own each. Equal
     spellings are combined map-side first, then equal forms, so hot names cost nothing. An acronym in brackets is
-    taken as defined, and a bare acronym belongs to the form that defines it. An empty table gives no rows.
+    taken as defined, and a bare acronym belongs to the cluster that defines it; where several define it, to none of
+    them. Components of more than TASK_EDGES edges are clustered in rounds over tables, smaller ones each in a task.
+    An empty table gives no rows.
     """
     distinct = names.select(F.col("name").cast("string").alias("spelling")).where(F.col("spelling").isNotNull()).distinct()
     named = distinct.where((F.trim("spelling") != "") & ~F.lower(F.trim("spelling")).isin(*NOBODY))
-    parsed = materialize(named.mapInArrow(_parse_batches, PARSED), "parsed")
-    defined = parsed.where("acronym <> ''").groupBy("acronym").agg(F.min("form").alias("meant"))
-    p = parsed.join(defined.select(F.col("acronym").alias("bare_acronym"), "meant"), "bare_acronym", "left")
-    p = p.select("spelling", F.when(F.col("bare_acronym") == "", F.col("form")).otherwise(F.coalesce("meant", F.concat(F.lit("acronym "), F.col("bare_acronym")))).alias("form"))
-    p = materialize(p.select("spelling", F.xxhash64("form").alias("id")), "forms")
-    forms = materialize(parsed.where("bare_acronym = ''").select(F.xxhash64("form").alias("id"), "name", "given", "kinds").distinct(), "forms")
+    parsed = materialize(spread(named).mapInArrow(_parse_batches, PARSED).withColumn("id", F.xxhash64("form")), "parsed")
+    full = parsed.where("bare_acronym = ''")
+    forms = materialize(full.select("id", "name", "given", "kinds").distinct(), "forms")
     edges = materialize(similar_forms(forms), "similar")
     groups = connected_groups(forms.select("id"), edges.select("a", "b"))
 
@@ -264,8 +290,15 @@ def spelling_clusters(names: DataFrame) -> DataFrame:
         found = average_linkage(list(zip(pdf.a.tolist(), pdf.b.tolist(), pdf.sim.tolist())))
         return pd.DataFrame(sorted(found.items()), columns=["id", "cluster"])
 
-    clusters = edges.join(groups.select(F.col("id").alias("a"), "group_id"), "a").groupBy("group_id").applyInPandas(link, "id long, cluster long")
-    return p.join(clusters, "id", "left").select("spelling", F.coalesce("cluster", "id").alias("cluster"))
+    placed = materialize(edges.join(groups.select(F.col("id").alias("a"), "group_id"), "a"), "placed")
+    large = materialize(placed.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TASK_EDGES).select("group_id"), "large")
+    clusters = placed.join(large, "group_id", "left_anti").groupBy("group_id").applyInPandas(link, "id long, cluster long")
+    if not large.isEmpty():
+        clusters = clusters.unionByName(linkage_rounds(placed.join(large, "group_id", "left_semi")))
+    of_form = materialize(forms.select("id").join(clusters, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster")), "clusters")
+    defined = full.where("acronym <> ''").join(of_form, "id").groupBy(F.col("acronym").alias("bare_acronym")).agg(F.min("cluster").alias("cluster"), F.max("cluster").alias("last")).where("cluster = last").drop("last")
+    bare = parsed.where("bare_acronym <> ''").join(defined, "bare_acronym", "left").select("spelling", F.coalesce("cluster", F.xxhash64(F.concat(F.lit("acronym "), F.col("bare_acronym")))).alias("cluster"))
+    return full.join(of_form, "id").select("spelling", "cluster").unionByName(bare)
 
 
 def sponsor_pairs(trials: DataFrame) -> DataFrame:

@@ -57,3 +57,23 @@ def test_average_linkage_against_brute_force():
             groups[best[1]] |= groups[best[2]]
             del groups[best[2]]
         assert {frozenset(g) for g in groups} == {frozenset(i for i in got if got[i] == r) for r in set(got.values())}
+
+
+def test_linkage_over_tables_equals_that_in_one_task(spark, monkeypatch):
+    import random
+
+    import cohortloom.llm.variants as m
+
+    rng = random.Random(7)
+    edges = [(a, b, round(rng.random(), 9)) for a in range(14) for b in range(a + 1, 14) if rng.random() < 0.5]
+    groups = lambda pairs: {frozenset(i for i, c in pairs if c == r) for r in {c for _, c in pairs}}
+    want = groups(list(average_linkage(edges, 0.4).items()))
+    got = m.linkage_rounds(spark.createDataFrame(edges, "a long, b long, sim double"), 0.4).collect()
+    assert groups([(r.id, r.cluster) for r in got]) == want
+    monkeypatch.setattr(m, "TASK_EDGES", 1)
+    assert clusters(spark, ORG + PERSON) == sorted(map(sorted, [ORG, PERSON]))
+
+
+def test_an_acronym_that_two_organisations_define_belongs_to_neither(spark):
+    names = ["Alphazuri Labs (ABCDE)", "Betakomo Therapeutics (ABCDE)", "ABCDE"]
+    assert clusters(spark, names) == sorted([n] for n in names)
