@@ -21,6 +21,8 @@ SALTS = (
     r"(\s+(mesylate|dimaleate|hydrochloride|phosphate|disodium|sodium|tartrate|hydrate|dimethyl\s+sulfoxide|sulfoxide|acetate|citrate|fumarate"
     r"|maleate|tosylate|besylate|succinate|sulfate|nitrate|bromide|chloride|gluconate|albumin-stabilized\s+nanoparticle\s+formulation))+\s*$"
 )
+COMBINATION = r"\s*(?:-|\+|\sand\s|\swith\s)\s*"
+BRAND_GENERIC = r"^(.+?)\s*\((.+)\)\s*$"
 AE_CODES = {
     "nausea": "10027159", "vomiting": "10042365", "diarrhea": "10017916", "diarrhoea": "10017916", "rash": "10021457", "fatigue": "10022855",
     "cough": "10021454", "dyspnea": "10041144", "dyspnoea": "10041144", "headache": "10019233", "dizziness": "10009388", "fever": "10017912",
@@ -95,12 +97,12 @@ def without_salts(c: Column) -> Column:
 
 def brand_and_generic(c: Column) -> Column:
     """``Brand (Generic)`` as a struct; generic is null without parentheses."""
-    pattern = r"^(.+?)\s*\((.+)\)\s*$"
+    pattern = BRAND_GENERIC
     return F.struct(F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1)).otherwise(c).alias("brand"), F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 2)).alias("generic"))
 
 
 def combination_parts(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s*(?:-|\+|\sand\s|\swith\s)\s*"), lambda x: x != "")
+    return F.filter(F.split(c, COMBINATION), lambda x: x != "")
 
 
 def first_integer(c: Column) -> Column:
@@ -140,10 +142,18 @@ def population_mention(c: Column) -> Column:
     return F.when(at > 0, F.struct(F.regexp_extract(c, POPULATION_IN_CONTEXT, 1).alias("population"), F.regexp_extract(c, POPULATION_IN_CONTEXT, 2).alias("context"), span.alias("span")))
 
 
-def needs_model(c: Column) -> Column:
-    """Text long enough to be worth a model call, or one that begins like an exclusion."""
+def needs_model(c: Column, hit: Column | None = None, context: Column | None = None) -> Column:
+    """Whether a text is worth a model call.
+
+    Without a pattern hit, if it is longer than 200 characters; with one, if the hit's ``context`` is ``exclusion`` or
+    the text begins like an exclusion.
+    """
     head = F.lower(F.substring(F.trim(c), 1, 60))
-    return F.coalesce((F.length(c) > 200) | head.rlike("^(exclusion|excluding|stratification|sub-analysis|subanalysis|biomarker)"), F.lit(False))
+    excluding = F.coalesce(head.rlike("^(exclusion|excluding|stratification|sub-analysis|subanalysis|biomarker)"), F.lit(False))
+    if context is not None:
+        excluding = excluding | F.coalesce(context == "exclusion", F.lit(False))
+    found = F.coalesce(hit, F.lit(False)) if hit is not None else F.lit(False)
+    return F.when(found, excluding).otherwise(F.coalesce(F.length(c) > 200, F.lit(False)))
 
 
 def regulatory_date(c: Column) -> Column:

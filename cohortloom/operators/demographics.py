@@ -14,8 +14,6 @@ from cohortloom.operators.joins import small
 
 #: share of one group from which a cohort counts as uniform
 THRESHOLD = 0.95
-#: The country list becomes a literal of the plan; there are fewer countries than this.
-MAX_COUNTRIES = 500
 # fixed values: measure titles, tiers, and the country behind a registry
 RACE_TITLES = ("Race", "Race (NIH-OMB)", "Race/Ethnicity", "Race and Ethnicity", "Race and Ethnicity, Customized")
 COUNTRY_TITLES = ("Country of Enrollment", "Region of Enrollment", "Country")
@@ -112,27 +110,26 @@ def stated_in_text(trials: DataFrame) -> DataFrame:
 
 
 def stated_by_model(trials: DataFrame, model: Callable) -> DataFrame:
-    """B2: an injected model over long eligibility texts."""
+    """B2: an injected model over long eligibility texts of ``trials``, which no pattern has decided."""
     h = trials.where(needs_model(F.col("eligibility_criteria_text"))).select("nct_id", population_model(model)(F.col("eligibility_criteria_text")).alias("h"))
     h = h.where("h.has_population_restriction and h.is_inclusion_criterion")
     return h.select("nct_id", *_row("B2", "medium", F.col("h.population"), None, F.col("h.evidence_span"), True))
 
 
 def by_location(trials: DataFrame, countries: DataFrame) -> DataFrame:
-    """C1 one site country, C2 several of one region, C3 the sponsor's country where there are no sites. Countries on the exclusion list, or unknown, give none."""
-    listed = countries.select("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list").limit(MAX_COUNTRIES + 1).collect()
-    if len(listed) > MAX_COUNTRIES:
-        raise ValueError(f"more than {MAX_COUNTRIES} countries")
-    known = {r["country_name"].lower(): r for r in reversed(listed)}
-    entries = [x for k, r in known.items() for x in (F.lit(k), F.struct(*[F.lit(r[c]).alias(c) for c in ("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list")]))]
-    if not entries:
-        return trials.select("nct_id", *_row("C1", None, F.lit(None), None, F.lit(None).cast("string"), True)).limit(0)
-    dim, t = F.create_map(*entries), trials
+    """C1 one site country, C2 several of one region, C3 the sponsor's country where there are no sites. Countries on the exclusion list, or unknown, give none.
+
+    Countries compare without case; of repeated ones the first by its values holds.
+    """
+    dim = countries.where("country_name is not null").groupBy(F.lower("country_name").alias("_k")).agg(F.min(F.struct("country_name", "dominant_ancestry", "region", "in_diverse_exclusion_list")).alias("_d"))
     sites = F.coalesce(F.col("site_countries"), F.array().cast("array<string>"))
-    found = F.transform(sites, lambda c: F.try_element_at(dim, F.lower(c)))
+    placed = trials.select("nct_id", F.posexplode(sites).alias("pos", "site")).join(small(dim), F.lower("site") == F.col("_k"), "left")
+    placed = placed.groupBy("nct_id").agg(F.array_sort(F.collect_list(F.struct("pos", "site", "_d"))).alias("l"))
+    t = trials.select("nct_id", "lead_sponsor_country").join(placed, "nct_id", "left").join(small(dim.select(F.col("_k").alias("_s"), F.col("_d").alias("sponsor"))), F.lower("lead_sponsor_country") == F.col("_s"), "left")
+    t = t.withColumn("sites", F.coalesce(F.transform("l", lambda x: x["site"]), F.array().cast("array<string>"))).withColumn("found", F.transform("l", lambda x: x["_d"]))
+    sites, found, sponsor = F.col("sites"), F.col("found"), F.col("sponsor")
     ok = F.forall(found, lambda d: d.isNotNull() & ~d["in_diverse_exclusion_list"])
-    one, regions = F.try_element_at(found, F.lit(1)), F.array_distinct(F.transform(found, lambda d: d["region"]))
-    sponsor = F.try_element_at(dim, F.lower("lead_sponsor_country"))
+    one, regions = F.get(found, 0), F.array_distinct(F.transform(found, lambda d: d["region"]))
     n = F.size(sites)
     hit = (
         F.when((n == 1) & ok, F.struct(F.lit("C1").alias("t"), F.lit("medium").alias("c"), one["dominant_ancestry"].alias("p"), F.concat(F.lit("site country: "), one["country_name"]).alias("e")))
@@ -156,7 +153,10 @@ def cascade(trials: DataFrame, baseline: DataFrame, countries: DataFrame, model:
     """All tiers in order, the higher always winning: a trial with any reported row gets no lower tier; without any it is NONE."""
     reported = reported_per_arm(baseline).unionByName(reported_per_trial(baseline)).unionByName(reported_country(baseline, countries))
     rest = trials.join(reported.select("nct_id").distinct(), "nct_id", "left_anti")
-    tiers = [stated_in_text(rest), *([stated_by_model(rest, model)] if model else []), by_location(rest, countries), by_registry(rest, countries)]
+    stated = stated_in_text(rest)
+    # calls of a model are the dearest step: it sees only what no pattern has decided
+    by_model = [stated_by_model(rest.join(stated.select("nct_id"), "nct_id", "left_anti"), model)] if model else []
+    tiers = [stated, *by_model, by_location(rest, countries), by_registry(rest, countries)]
     ranked = None
     for i, t in enumerate(tiers):
         t = t.withColumn("_rank", F.lit(i))

@@ -38,40 +38,42 @@ def changed_columns(old: str, new: str, tracked: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(~F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}")), F.lit(c)) for c in tracked]))
 
 
-def scd2_upsert(history: DataFrame | None, staged: DataFrame, key: str, tracked: Sequence[str], now: Column, order: str | None = None) -> Upsert:
+def scd2_upsert(history: DataFrame | None, staged: DataFrame, key: str, tracked: Sequence[str], now: Column, order: str | Sequence[str] = ()) -> Upsert:
     """Apply a batch to a history.
 
     Rows without key are counted as errors. A key without a current version starts version 1; a row whose hash
     differs from the version before closes it at ``now`` and opens the next; an equal one is counted as unchanged
     and written nowhere, whatever its untracked columns hold. A key repeated in the batch makes its versions in
-    ``order``, the middle ones with an empty period. Keys that the batch lacks stay current.
+    ``order`` (columns that are not stored; without them in the order in which the rows arrive), the middle ones with
+    an empty period. Keys that the batch lacks stay current. ``history`` is read several times: give a stored table.
     """
-    payload = [c for c in staged.columns if c != order]
-    ordinal = F.col(order) if order else F.lit(0)
+    order = [order] if isinstance(order, str) else list(order)
+    payload = [c for c in staged.columns if c not in order]
+    arrival = F.struct(*order) if order else F.struct(F.monotonically_increasing_id().alias("o"))
     good = staged.where(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
-    rows = good.select(F.col(key).alias("_key"), ordinal.cast("long").alias("_ord"), F.struct(*payload).alias("_row"), record_hash(good, tracked).alias("_hash"), F.lit(0).alias("_version"), F.lit(None).cast("timestamp").alias("_from"))
+    rows = good.select(F.col(key).alias("_key"), F.lit(0).alias("_level"), arrival.alias("_ord"), F.struct(*payload).alias("_row"), record_hash(good, tracked).alias("_hash"), F.lit(0).alias("_version"), F.lit(None).cast("timestamp").alias("_from"))
     if history is not None:
         current = history.where("is_current")
         rows = rows.unionByName(
             current.join(good.select(F.col(key)).distinct(), key, "left_semi").select(
-                F.col(key).alias("_key"), F.lit(-1).cast("long").alias("_ord"), F.struct(*[F.col(c).cast(staged.schema[c].dataType).alias(c) for c in payload]).alias("_row"),
+                F.col(key).alias("_key"), F.lit(-1).alias("_level"), F.lit(None).cast(rows.schema["_ord"].dataType).alias("_ord"), F.struct(*[F.col(c).cast(staged.schema[c].dataType).alias(c) for c in payload]).alias("_row"),
                 F.col("record_hash").alias("_hash"), F.col("version").alias("_version"), F.col("valid_from").cast("timestamp").alias("_from"),
             )
         )
-    w = Window.partitionBy("_key").orderBy("_ord", "_hash")
+    w = Window.partitionBy("_key").orderBy("_level", "_ord", "_hash")
     marked = rows.withColumn("_prev", F.lag("_hash").over(w)).withColumn("_new", F.col("_prev").isNull() | (F.col("_prev") != F.col("_hash")))
-    runs = marked.where("_new").withColumn("_before", F.lag(F.struct("_row")).over(w)["_row"]).withColumn("_no", F.row_number().over(w)).withColumn("_base", F.max("_version").over(Window.partitionBy("_key"))).withColumn("_last", F.lead("_ord").over(w).isNull())
+    runs = marked.where("_new").withColumn("_before", F.lag(F.struct("_row")).over(w)["_row"]).withColumn("_no", F.row_number().over(w)).withColumn("_base", F.max("_version").over(Window.partitionBy("_key"))).withColumn("_last", F.lead("_level").over(w).isNull())
     version = F.when(F.col("_base") > 0, F.col("_base") + F.col("_no") - 1).otherwise(F.col("_no"))
     made = runs.select(
         "_row.*",
-        F.when(F.col("_ord") < 0, F.col("_from")).otherwise(now).alias("valid_from"),
+        F.when(F.col("_level") < 0, F.col("_from")).otherwise(now).alias("valid_from"),
         F.when(~F.col("_last"), now).alias("valid_to"),
         F.col("_last").alias("is_current"),
         version.cast("int").alias("version"),
         F.col("_hash").alias("record_hash"),
         F.when(version == 1, "INSERT").otherwise("UPDATE").alias("change_type"),
         F.when(F.col("_before").isNotNull(), changed_columns("_before", "_row", tracked)).alias("changed_columns"),
-        (F.col("_ord") < 0).alias("_was"),
+        (F.col("_level") < 0).alias("_was"),
     )
     keep = [*payload, *META]
     if history is not None:

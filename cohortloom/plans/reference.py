@@ -12,7 +12,7 @@ from cohortloom.functions import text as X
 from cohortloom.functions.udfs import batched_entities, compatible_lower, population_model, with_model_cache
 from cohortloom.operators import aggregates as A
 from cohortloom.operators import arms, components, dedup, demographics, eu_studies, harmonize, joins, runs, scd2, studies
-from cohortloom.session import table
+from cohortloom.session import materialize, table
 from cohortloom.sinks.writers import flat_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,34 +266,34 @@ def _(s, d):
 # ---------------------------------------------------------------- history
 
 
-def _states(s, d):
-    """The first and the last observed state of every trial, as two batches."""
-    t = table(s, d, "trials_scd2_snapshots").select("trial_id", "status", "enrollment", "title", "data_collection_date", "processing_timestamp", "snapshot_id")
-    order = ["data_collection_date", "processing_timestamp", "snapshot_id"]
-    cut = lambda x: x.select("trial_id", "status", "enrollment", "title")
-    return cut(dedup.keep_first(t, ["trial_id"], order)), cut(dedup.keep_last(t, ["trial_id"], order))
+_ORDER = ["data_collection_date", "processing_timestamp", "snapshot_id"]
+_TRACKED = ["status", "enrollment"]
 
 
-_STATES = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY trial_id ORDER BY data_collection_date, processing_timestamp, snapshot_id) AS a, row_number() OVER (PARTITION BY trial_id ORDER BY data_collection_date DESC, processing_timestamp DESC, snapshot_id DESC) AS b FROM trials_scd2_snapshots),
-j AS (SELECT x.trial_id, x.status AS s1, y.status AS s2, x.enrollment AS e1, y.enrollment AS e2, x.title AS t1, y.title AS t2, x.status IS DISTINCT FROM y.status AS ds, x.enrollment IS DISTINCT FROM y.enrollment AS de FROM r x JOIN r y ON x.trial_id IS NOT DISTINCT FROM y.trial_id WHERE x.a=1 AND y.b=1)"""
-_TRACKED = ["status", "enrollment"]
+def _upserts(s, d):
+    """All observations in two batches, both with several states of a key; the second goes on where the first ended."""
+    t = table(s, d, "trials_scd2_snapshots").select("trial_id", "status", "enrollment", "title", *_ORDER)
+    late = F.col("data_collection_date") >= F.lit("2018-01-01").cast("timestamp_ntz")
+    first = scd2.scd2_upsert(None, t.where(~F.coalesce(late, F.lit(False))), "trial_id", _TRACKED, NOW("2018-01-01 00:00:00"), _ORDER)
+    return scd2.scd2_upsert(materialize(first.history, "history"), t.where(late), "trial_id", _TRACKED, NOW("2026-01-01 00:00:00"), _ORDER)
+
+
+_CHANGES = """WITH r AS (SELECT *, lag(status) OVER w AS ls, lag(enrollment) OVER w AS le, row_number() OVER w AS rn FROM trials_scd2_snapshots WHERE trim(trial_id)<>''
+  WINDOW w AS (PARTITION BY trial_id ORDER BY data_collection_date NULLS FIRST, processing_timestamp NULLS FIRST, snapshot_id)),
+c AS (SELECT *, row_number() OVER (PARTITION BY trial_id ORDER BY rn) AS v, count(*) OVER (PARTITION BY trial_id) AS n FROM r WHERE rn=1 OR status IS DISTINCT FROM ls OR enrollment IS DISTINCT FROM le)"""
 
 
-@query("ref_w03_scd2_upsert", _STATES + """
-SELECT trial_id, s1 AS status, e1 AS enrollment, t1 AS title, 1 AS version, NOT (ds OR de) AS is_current, 'INSERT' AS change_type, '' AS changed FROM j WHERE trim(trial_id)<>''
-UNION ALL SELECT trial_id, s2, e2, t2, 2, true, 'UPDATE', concat_ws(',', CASE WHEN ds THEN 'status' END, CASE WHEN de THEN 'enrollment' END) FROM j WHERE trim(trial_id)<>'' AND (ds OR de)""")
+@query("ref_w03_scd2_upsert", _CHANGES + """
+SELECT trial_id, status, enrollment, title, CAST(v AS INT) AS version, v=n AS is_current, CASE WHEN v=1 THEN 'INSERT' ELSE 'UPDATE' END AS change_type,
+  CASE WHEN v=1 THEN '' ELSE concat_ws(',', CASE WHEN status IS DISTINCT FROM ls THEN 'status' END, CASE WHEN enrollment IS DISTINCT FROM le THEN 'enrollment' END) END AS changed FROM c""")
 def _(s, d):
-    v1, v2 = _states(s, d)
-    first = scd2.scd2_upsert(None, v1, "trial_id", _TRACKED, NOW("2024-01-01 00:00:00"))
-    second = scd2.scd2_upsert(first.history, v2, "trial_id", _TRACKED, NOW("2024-02-01 00:00:00"))
-    return second.history.select("trial_id", "status", "enrollment", "title", "version", "is_current", "change_type", F.coalesce(F.array_join("changed_columns", ","), F.lit("")).alias("changed"))
+    return _upserts(s, d).history.select("trial_id", "status", "enrollment", "title", "version", "is_current", "change_type", F.coalesce(F.array_join("changed_columns", ","), F.lit("")).alias("changed"))
 
 
-@query("ref_w03_upsert_stats", _STATES + " SELECT CAST(0 AS BIGINT) AS inserted, count(*) FILTER (trim(trial_id)<>'' AND (ds OR de)) AS updated, count(*) FILTER (trim(trial_id)<>'' AND NOT (ds OR de)) AS unchanged, count(*) FILTER (coalesce(trim(trial_id),'')='') AS errors FROM j")
+@query("ref_w03_upsert_stats", _CHANGES + """, late AS (SELECT * FROM trials_scd2_snapshots WHERE data_collection_date >= TIMESTAMP '2018-01-01'), l AS (SELECT * FROM c WHERE data_collection_date >= TIMESTAMP '2018-01-01')
+SELECT (SELECT count(*) FROM l WHERE v=1) AS inserted, (SELECT count(*) FROM l WHERE v>1) AS updated, (SELECT count(*) FROM late WHERE trim(trial_id)<>'') - (SELECT count(*) FROM l) AS unchanged, (SELECT count(*) FROM late WHERE coalesce(trim(trial_id),'')='') AS errors""")
 def _(s, d):
-    v1, v2 = _states(s, d)
-    first = scd2.scd2_upsert(None, v1, "trial_id", _TRACKED, NOW("2024-01-01 00:00:00"))
-    return scd2.scd2_upsert(first.history, v2, "trial_id", _TRACKED, NOW("2024-02-01 00:00:00")).stats
+    return _upserts(s, d).stats
 
 
 @query("ref_w01_replace_rows", "SELECT trial_id, status, snapshot_id FROM (SELECT *, row_number() OVER (PARTITION BY trial_id ORDER BY snapshot_id DESC) AS rn FROM trials_scd2_snapshots WHERE trial_id IS NOT NULL) WHERE rn=1")
@@ -544,11 +544,22 @@ def _(s, d):
 
 
 @query("ref_r16_containment", r"""
-WITH l AS (SELECT DISTINCT query_name, lower(trim(query_name)) AS t FROM harmonized_drug_queries WHERE query_name IS NOT NULL), r AS (SELECT lower(canonical_name) AS r FROM drug_reference)
-SELECT DISTINCT query_name FROM l JOIN r ON (contains(t,r) OR contains(r,t)) AND t<>'' AND list_contains(string_split_regex(t,'\s+'), r)""")
+SELECT DISTINCT lower(trim(query_name)) AS query_name, lower(trim(canonical_name)) AS canonical_name FROM harmonized_drug_queries, drug_reference
+WHERE trim(query_name)<>'' AND trim(canonical_name)<>'' AND (contains(lower(trim(query_name)), lower(trim(canonical_name))) OR contains(lower(trim(canonical_name)), lower(trim(query_name))))""")
+def _(s, d):
+    return joins.contained_either_way(table(s, d, "harmonized_drug_queries"), "query_name", table(s, d, "drug_reference"), "canonical_name")
+
+
+@query("ref_r16_matched_labels", r"""
+WITH n AS (SELECT canonical_name AS label_id, unnest(list_concat([canonical_name], CAST(aliases AS VARCHAR[]))) AS name, rxcui FROM drug_reference),
+q AS (SELECT DISTINCT query_name AS query, (SELECT min(rxcui) FROM drug_reference WHERE lower(canonical_name)=lower(trim(query_name))) AS app FROM harmonized_drug_queries WHERE trim(query_name)<>'')
+SELECT DISTINCT query, label_id FROM q JOIN n ON (trim(name)<>'' AND (contains(lower(trim(query)), lower(trim(name))) OR contains(lower(trim(name)), lower(trim(query))))) OR upper(replace(rxcui,' ',''))=upper(replace(app,' ',''))""")
 def _(s, d):
-    left = table(s, d, "harmonized_drug_queries").where("query_name is not null").select("query_name").distinct()
-    return joins.contained_either_way(left, "query_name", table(s, d, "drug_reference"), "canonical_name").select("query_name")
+    r = table(s, d, "drug_reference")
+    labels = r.select(F.col("canonical_name").alias("label_id"), F.concat(F.array("canonical_name"), F.from_json("aliases", "array<string>")).alias("names"), F.array_compact(F.array("rxcui")).alias("applications"))
+    apps = r.groupBy(F.lower("canonical_name").alias("k")).agg(F.array_compact(F.array(F.min("rxcui"))).alias("applications"))
+    q = table(s, d, "harmonized_drug_queries").where("trim(query_name) <> ''").select(F.col("query_name").alias("query")).distinct().join(apps, F.lower(F.trim("query")) == F.col("k"), "left").select("query", "applications")
+    return joins.matched_labels(q, labels)
 
 
 @query("ref_r17_patents_by_composite", "SELECT o_orderkey, o_orderstatus, (SELECT string_agg(DISTINCT CAST(l_linenumber AS VARCHAR),',' ORDER BY CAST(l_linenumber AS VARCHAR)) FROM lineitem WHERE l_orderkey=o_orderkey AND l_linestatus=o_orderstatus) AS lines FROM orders")
@@ -634,9 +645,11 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", X.biomarker_signal(F.col("text")).alias("signal"))
 
 
-@query("ref_t10_needs_model", r"SELECT doc_id, coalesce(length(text)>200 OR regexp_matches(lower(substr(trim(text,' '),1,60)),'^(exclusion|excluding|stratification|sub-analysis|subanalysis|biomarker)'),false) AS needed FROM documents")
+@query("ref_t10_needs_model", r"""
+SELECT doc_id, CASE WHEN coalesce(regexp_matches(text, '(?i)\bjapanese\b'), false) THEN coalesce(regexp_matches(lower(substr(trim(text,' '),1,60)),'^(exclusion|excluding|stratification|sub-analysis|subanalysis|biomarker)'),false) OR source='us_registry' ELSE coalesce(length(text)>200,false) END AS needed FROM documents""")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", X.needs_model(F.col("text")).alias("needed"))
+    hit, context = F.col("text").rlike(r"(?i)\bjapanese\b"), F.when(F.col("source") == "us_registry", "exclusion")
+    return table(s, d, "documents").select("doc_id", X.needs_model(F.col("text"), hit, context).alias("needed"))
 
 
 @query("ref_t11_compatible_form")
@@ -805,7 +818,8 @@ def _(s, d):
 @query("ref_t26_cascade")
 def _(s, d):
     st = _studies(s, d)
-    t = studies.trial_rows(st).where("nct_id is not null").dropDuplicates(["nct_id"])
+    t = studies.trial_rows(st).where("nct_id is not null")
+    t = dedup.keep_first(t, ["nct_id"], [F.to_json(F.struct(*t.columns))])
     t = t.withColumn("site_countries", F.from_json("countries", "array<string>")).withColumn("secondary_ids", F.from_json("secondary_ids", "array<struct<id: string, type: string, domain: string>>"))
     b = studies.baseline_rows(st).withColumn("ord", F.xxhash64("category", "value"))
     dim = s.createDataFrame(demographics.COUNTRIES, "country_name string, dominant_ancestry string, region string, in_diverse_exclusion_list boolean")
@@ -887,10 +901,9 @@ def _(s, d):
     return harmonize.merged_rows(r, "canonical_name", "names")
 
 
-@query("ref_r23_coded_terms", "SELECT i.name_id, coalesce(r.rxcui, 'none') AS code FROM trial_interventions i LEFT JOIN drug_reference r ON lower(trim(i.intervention_name,' '))=lower(trim(r.canonical_name,' ')) WHERE r.rxcui IS NOT NULL")
+@query("ref_r23_coded_terms", "SELECT i.name_id, lower(coalesce(r.rxcui, i.intervention_name)) AS code FROM trial_interventions i LEFT JOIN drug_reference r ON lower(trim(i.intervention_name,' '))=lower(trim(r.canonical_name,' ')) AND r.rxcui IS NOT NULL")
 def _(s, d):
-    t = harmonize.coded(table(s, d, "trial_interventions").select("name_id", "intervention_name"), "intervention_name", table(s, d, "drug_reference").where("rxcui is not null"), "canonical_name", "rxcui")
-    return t.where(F.col("code") != F.initcap("intervention_name")).select("name_id", "code")
+    return harmonize.coded(table(s, d, "trial_interventions").select("name_id", "intervention_name"), "intervention_name", table(s, d, "drug_reference").where("rxcui is not null"), "canonical_name", "rxcui").select("name_id", F.lower("code").alias("code"))
 
 
 @query("ref_r25_membership_flags", """SELECT canonical_name, list_contains(CAST(subtypes AS VARCHAR[]),'NSCLC') AS nsclc, list_contains(CAST(subtypes AS VARCHAR[]),'SCLC') AS sclc FROM drug_reference""")

@@ -1,4 +1,4 @@
-"""Drug names and trial fields from HTML pages."""
+"""Drug names from HTML pages."""
 
 from __future__ import annotations
 
@@ -43,8 +43,8 @@ class _Anchors(HTMLParser):
 
 
 def drug_names(html: str | None) -> list[tuple[str, str]]:
-    """(name, kind) of a page in order, each once: brand, generic or single names; combinations are split."""
-    from cohortloom.functions.text import SALTS
+    """(name, kind) of a page in order, each once: brand or generic; combinations are split into generic names without salts."""
+    from cohortloom.functions.text import BRAND_GENERIC, COMBINATION, SALTS
 
     parser = _Anchors()
     parser.feed(html or "")
@@ -54,11 +54,11 @@ def drug_names(html: str | None) -> list[tuple[str, str]]:
         if not re.search(r"[A-Za-z]", text):
             continue
         if section.startswith("drug-combinations"):
-            for part in re.split(r"\s*(?:-|\+|\sand\s|\swith\s)\s*", text.lower()):
-                if part:
-                    found.setdefault((part, "combination"))
+            for part in re.split(COMBINATION, text.lower()):
+                if name := re.sub(SALTS, "", part).strip():
+                    found.setdefault((name, "generic"))
             continue
-        m = re.match(r"^(.+?)\s*\((.+)\)\s*$", text)
+        m = re.match(BRAND_GENERIC, text)
         names = [(m.group(1), "brand"), (m.group(2), "generic")] if m else [(text, "generic")]
         for name, kind in names:
             name = re.sub(SALTS, "", name.lower()).strip() if kind == "generic" else name.lower().strip()

@@ -11,7 +11,7 @@ from cohortloom.operators.scd2 import scd2_upsert
 from cohortloom.sinks.writers import TableStore
 
 
-def upsert_stream(spark: SparkSession, folder: str, schema: str, store: TableStore, checkpoint: str, key: str, tracked: Sequence[str], now: Callable[[int], Column], order: str | None = None):
+def upsert_stream(spark: SparkSession, folder: str, schema: str, store: TableStore, checkpoint: str, key: str, tracked: Sequence[str], now: Callable[[int], Column], order: str | Sequence[str] = ()):
     """Process all files that are new since the last run and stop; ``now`` gives the batch's moment."""
 
     def apply(batch: DataFrame, number: int) -> None:

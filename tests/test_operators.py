@@ -7,7 +7,7 @@ from cohortloom.functions import text as X
 from cohortloom.functions.udfs import HIT, batched_entities, compatible_lower, population_model, section_after, with_model_cache
 from cohortloom.operators import aggregates as A
 from cohortloom.operators import components, dedup, demographics, harmonize, joins, scd2, studies
-from cohortloom.operators.arms import label_score, normal_label, resolve, resolved_arms
+from cohortloom.operators.arms import label_score, resolve_rest, resolved_arms, with_resolved_arms
 
 
 def one(spark, value, fn, kind="string"):
@@ -64,18 +64,30 @@ LABELS = {"Experimental: Drug A 200 mg": "drug a", "Arm 1 - Placebo": "placebo",
 
 def test_arm_labels(spark):
     for raw, want in LABELS.items():
-        assert normal_label(raw) == want and one(spark, raw, X.arm_key) == want
+        assert one(spark, raw, X.arm_key) == want
+
+
+def resolution(spark, labels, titles):
+    a = spark.createDataFrame([("N", i, x) for i, x in enumerate(labels)], "nct_id string, arm_no int, arm_label string")
+    t = spark.createDataFrame([("N", i, x) for i, x in enumerate(titles)], "nct_id string, title_no int, title string")
+    found = {r.arm_label: (r.matched_to, r.match_method, r.fuzzy_score, r.arm_match_status) for r in resolved_arms(a, t).collect()}
+    return [found[x or ""] for x in labels]
 
 
 def test_arm_resolution(spark):
-    assert [x[2] for x in resolve(["Arm A: Drug X", "Placebo"], ["drug x", "PLACEBO"])] == ["exact", "exact"]
-    assert resolve(["Pembrolizumab monotherapy"], ["Pembrolizumab 200"])[0][2] == "fuzzy"
-    assert [x[2] for x in resolve(["alpha", "beta"], ["qqqq", "zzzz"])] == ["positional", "positional"]
-    assert [x[4] for x in resolve(["alpha", "beta", "gamma"], ["qqqq", "zzzz"])] == ["count_mismatch"] * 3
+    assert resolution(spark, ["Arm A: Drug X", "Placebo"], ["drug x", "PLACEBO"]) == [("drug x", "exact_normalized", None, "ok"), ("PLACEBO", "exact_normalized", None, "ok")]
+    (hit,) = resolution(spark, ["Pembrolizumab monotherapy"], ["Pembrolizumab 200"])
+    assert hit[1] == "fuzzy" and hit[2] >= 90 and hit[3] == "ok"
+    assert resolution(spark, ["alpha", "beta"], ["qqqq", "zzzz"]) == [("qqqq", "positional", None, "ok"), ("zzzz", "positional", None, "ok")]
+    assert resolution(spark, ["alpha", "beta", "gamma"], ["qqqq", "zzzz"]) == [(None, "unmatched", None, "count_mismatch")] * 3
+    assert resolution(spark, ["same", "Same", "other"], ["SAME", "zzz", "same"])[:2] == [("SAME", "exact_normalized", None, "ok"), ("same", "exact_normalized", None, "ok")]
+    assert resolve_rest(["a", "b"], ["x"], [0], [0, 1], False) == [(0, None, "unmatched", None, "count_mismatch"), (1, None, "unmatched", None, "count_mismatch")]
     assert label_score("", "") == 0 and label_score("abc", "abd") > 60
     a = spark.createDataFrame([("N", 0, "Drug X"), ("N", 1, None), ("M", 0, "solo")], "nct_id string, arm_no int, arm_label string")
     t = spark.createDataFrame([("N", 0, "drug x")], "nct_id string, title_no int, title string")
-    assert {(r.nct_id, r.match_method) for r in resolved_arms(a, t).collect()} == {("N", "exact"), ("N", "unmatched"), ("M", "unmatched")}
+    out = resolved_arms(a, t)
+    assert {(r.nct_id, r.match_method) for r in out.collect()} == {("N", "exact_normalized"), ("N", "unmatched"), ("M", "unmatched")}
+    assert {(r.nct_id, r.arm_no, r.matched_to) for r in with_resolved_arms(a, out).collect()} == {("N", 0, "drug x"), ("N", 1, None), ("M", 0, None)}
 
 
 def test_text_functions(spark):
@@ -215,9 +227,42 @@ def test_joins_with_nulls_and_flags(spark):
     assert joins.null_safe_join(a, b, ["nct_id", "arm_label"]).count() == 2
     s = spark.createDataFrame([("1", "x", 0.0, 2.0)], "nct_id string, arm_label string, total_serious_affected double, total_other_affected double")
     assert {r.arm_label: r.has_any_ae for r in joins.with_any_event(joins.with_any_event(a, s), s).collect()} == {None: False, "x": True}
-    left = spark.createDataFrame([("humira pen",), ("hum",), ("",), (None,)], "name string")
-    right = spark.createDataFrame([("Humira",), ("",)], "label string")
-    assert [r.name for r in joins.contained_either_way(left, "name", right, "label").collect()] == ["humira pen"]
+    left = spark.createDataFrame([("humira pen",), ("hum",), ("i",), ("zzz",), ("",), (None,)], "name string")
+    right = spark.createDataFrame([("Humira",), ("",), ("An",)], "label string")
+    assert {tuple(r) for r in joins.contained_either_way(left, "name", right, "label").collect()} == {("humira pen", "humira"), ("hum", "humira"), ("i", "humira")}
+
+
+def test_containment_against_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    a, b = {word(rng.randint(1, 9)) for _ in range(120)}, {word(rng.randint(1, 9)) for _ in range(120)}
+    got = {tuple(r) for r in joins.contained_either_way(spark.createDataFrame([(x,) for x in a], "x string"), "x", spark.createDataFrame([(x,) for x in b], "y string"), "y").collect()}
+    clean = lambda v: {x.strip(" ") for x in v} - {""}
+    assert got == {(x, y) for x in clean(a) for y in clean(b) if x in y or y in x}
+
+
+def test_labels_by_name_or_application(spark):
+    q = spark.createDataFrame([("Treprostinil", ["NDA 1"]), ("other", ["nda2"]), ("none", None)], "query string, applications array<string>")
+    rows = [(1, ["Treprostinil Sodium"], None), (2, ["Remodulin"], ["NDA1"]), (3, None, ["NDA1"]), (4, ["x"], ["NDA 2"])]
+    out = joins.matched_labels(q, spark.createDataFrame(rows, "label_id int, names array<string>, applications array<string>")).collect()
+    assert {tuple(r) for r in out} == {("Treprostinil", 1), ("Treprostinil", 2), ("other", 4)}
+
+
+def test_repeated_keys_of_a_batch_make_versions_in_order(spark):
+    rows = [("k", "b", 2), ("k", "a", 1), ("k", "a", 3), ("k", "a", 4)]
+    df = spark.createDataFrame(rows, "id string, v string, o int")
+    up = scd2.scd2_upsert(None, df, "id", ["v"], F.lit("2024-01-01").cast("timestamp"), ["o"])
+    assert [(r.version, r.v, r.is_current) for r in up.history.orderBy("version").collect()] == [(1, "a", False), (2, "b", False), (3, "a", True)]
+    assert tuple(up.stats.first()) == (1, 2, 1, 0)
+    arrived = scd2.scd2_upsert(None, df.drop("o").coalesce(1), "id", ["v"], F.lit("2024-01-01").cast("timestamp"))
+    assert [r.v for r in arrived.history.orderBy("version").collect()] == ["b", "a"]
+
+
+def test_model_is_asked_only_where_it_can_matter(spark):
+    df = spark.createDataFrame([("x" * 201, False, None), ("x" * 201, True, None), ("x", True, "exclusion"), ("Excluding y", True, None), ("Excluding y", False, None), (None, False, None)], "t string, hit boolean, c string")
+    assert [r.n for r in df.select(X.needs_model(F.col("t"), F.col("hit"), F.col("c")).alias("n")).collect()] == [True, False, True, True, False, False]
 
 
 @pytest.mark.parametrize("value", [None, "", " ", "x" * 100_000, "\x00�"])

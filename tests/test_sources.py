@@ -69,7 +69,7 @@ def test_drug_page(spark):
     a = '<a href="/about-cancer/treatment/drugs/{0}">{1}</a>'
     html = f"""<h2 id="drugs-approved-for-non-small-cell-lung-cancer">x</h2><ul><li>{a.format("k", "Keytruda (Pembrolizumab)")}</li><li>{a.format("o", "Osi")}{a.format("o", "mertinib Mesylate")}</li><li>{a.format("o", "Osimertinib Mesylate")}</li></ul>
     <h2 id="drug-combinations-used-to-treat-non-small-cell-lung-cancer">y</h2><ul><li>{a.format("c", "CARBOPLATIN-TAXOL")}</li></ul><h2 id="other">z</h2>{a.format("n", "Not this")}"""
-    want = [("keytruda", "brand"), ("pembrolizumab", "generic"), ("osimertinib", "generic"), ("carboplatin", "combination"), ("taxol", "combination")]
+    want = [("keytruda", "brand"), ("pembrolizumab", "generic"), ("osimertinib", "generic"), ("carboplatin", "generic"), ("taxol", "generic")]
     assert drug_names(html) == want and drug_names(None) == []
     assert page_drugs(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")).count() == 5
 
