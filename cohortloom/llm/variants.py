@@ -17,10 +17,10 @@ from cohortloom.llm.canonical import swaps
 from cohortloom.llm.components import connected_groups
 from cohortloom.session import materialize, spread
 
-#: Lengths of the character n-grams; those of two letters are also taken without their order, which bears exchanged letters.
-NGRAMS = (2, 3)
+#: Length of the character n-grams.
+NGRAM = 3
 #: Least cosine of a candidate pair; the join is exact above it.
-COSINE = 0.27
+COSINE = 0.25
 #: Least average cosine at which two clusters are joined; pairs that fail threshold or exact check count as 0.
 LINKAGE = 0.2
 #: A component of more edges is clustered in rounds over tables instead of in one task.
@@ -162,8 +162,8 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for words, w in ((name, 1.0), (given, COMMON_WEIGHT), (kinds, COMMON_WEIGHT)):
                 for word in words.split():
                     padded = f"#{word}#"
-                    found = [padded[k : k + n] for n in NGRAMS for k in range(max(1, len(padded) - n + 1))]
-                    for g in found + ["".join(sorted(padded[k : k + 2])) + "~" for k in range(len(padded) - 1)]:
+                    for k in range(max(1, len(padded) - NGRAM + 1)):
+                        g = padded[k : k + NGRAM]
                         own[g] = max(own.get(g, 0.0), w)
             ids += [i] * len(own)
             grams += own.keys()
@@ -197,19 +197,25 @@ def similar_forms(forms: DataFrame) -> DataFrame:
     def side(x: str) -> DataFrame:
         return vectors.select(F.col("id").alias(x), F.col("v").alias("v" + x), *[F.col(k).alias(f"{k}_{x}") for k in ("name", "given", "kinds")])
 
-    # the dot product stays in the JVM; only pairs above the threshold reach the check
-    of_b = F.map_from_entries("vb")
-    met = spread(pairs).join(side("a"), "a").join(side("b"), "b").withColumn("mb", of_b)
-    met = met.withColumn("sim", F.least(F.lit(1.0), F.aggregate("va", F.lit(0.0), lambda t, x: t + x["w"] * F.coalesce(F.try_element_at("mb", x["g"]), F.lit(0.0))))).where(F.col("sim") >= COSINE)
+    met = spread(pairs).join(side("a"), "a").join(side("b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns[3:]]
-            ok = [same_entity({"name": na, "given": ga, "kinds": ka}, {"name": nb, "given": gb, "kinds": kb}) for na, ga, ka, nb, gb, kb in zip(*cols)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:3]], names=["a", "b", "sim"])
+            va, vb = batch.column(2), batch.column(3)
+            (ga, wa, oa), (gb, wb, ob) = ((v.values.field("g").to_pylist(), v.values.field("w").to_pylist(), v.offsets.to_pylist()) for v in (va, vb))
+            known: dict[tuple, dict[str, float]] = {}  # a vector occurs in many neighbouring pairs
+            near = []
+            for i, b in enumerate(batch.column(1).to_pylist()):
+                if (of_b := known.get(b)) is None:
+                    of_b = known[b] = dict(zip(gb[ob[i] : ob[i + 1]], wb[ob[i] : ob[i + 1]]))
+                near.append(min(1.0, sum(w * of_b[g] for g, w in zip(ga[oa[i] : oa[i + 1]], wa[oa[i] : oa[i + 1]]) if g in of_b)))
+            cols = [c.to_pylist() for c in batch.columns[4:]]
+            ok = [s >= COSINE and same_entity({"name": na, "given": fa, "kinds": ka}, {"name": nb, "given": fb, "kinds": kb}) for s, na, fa, ka, nb, fb, kb in zip(near, *cols)]
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(near, pa.float64()).filter(keep)], names=["a", "b", "sim"])
 
     parts = [f"{k}_{x}" for x in ("a", "b") for k in ("name", "given", "kinds")]
-    return met.select("a", "b", "sim", *parts).mapInArrow(verify, "a long, b long, sim double")
+    return met.select("a", "b", "va", "vb", *parts).mapInArrow(verify, "a long, b long, sim double")
 
 
 def average_linkage(edges: list[tuple[int, int, float]], cut: float = LINKAGE) -> dict[int, int]:
