@@ -51,22 +51,26 @@ def _regular(value: object, arrays: frozenset[str], key: str = "") -> object:
 
 
 def regular_json(df: DataFrame, text: str, arrays: frozenset[str], *keep: str) -> DataFrame:
-    """Columns to keep, and ``_json``: each readable record unwrapped, with arrays where the schema has them."""
+    """Columns to keep, and ``_json``: each readable record unwrapped, with arrays where the schema has them; a wrapper of several studies gives a row for each."""
     schema = T.StructType([*[df.schema[k] for k in keep], T.StructField("_json", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t in b.column(len(keep)).to_pylist():
+            rows, out = [], []
+            for i, t in enumerate(b.column(len(keep)).to_pylist()):
                 rec = read_record(t)
-                if rec is not None and isinstance(rec.get("studies"), list) and rec["studies"]:
-                    rec = rec["studies"][0]
-                elif rec is not None and isinstance(rec.get("data"), dict):
-                    rec = rec["data"]
-                out.append(json.dumps(_regular(rec, arrays), ensure_ascii=False) if rec is not None else None)
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(out, pa.string())], names=[*keep, "_json"])
+                if rec is None:
+                    continue
+                found = [rec]
+                if isinstance(rec.get("studies"), list):
+                    found = [x for x in map(_inside, rec["studies"]) if isinstance(x, dict)]
+                elif isinstance(rec.get("data"), dict):
+                    found = [rec["data"]]
+                rows += [i] * len(found)
+                out += [json.dumps(_regular(x, arrays), ensure_ascii=False) for x in found]
+            yield pa.RecordBatch.from_arrays([*[b.column(i).take(pa.array(rows, pa.int64())) for i in range(len(keep))], pa.array(out, pa.string())], names=[*keep, "_json"])
 
-    return df.select(*keep, F.col(text).cast("string")).mapInArrow(run, schema).where("_json is not null")
+    return df.select(*keep, F.col(text).cast("string")).mapInArrow(run, schema)
 
 
 def typed_studies(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -83,7 +87,7 @@ def _text(c: Column) -> Column:
 
 
 def study_records(s: DataFrame) -> DataFrame:
-    """The 16-field record of each study: first phase, conditions joined, countries in order of appearance."""
+    """The record of each study: first phase, conditions joined, countries in order of appearance, and the raw text if ``s`` keeps it as ``raw_study``."""
     countries = F.array_distinct(F.filter(F.transform(_p("contactsLocationsModule.locations"), lambda x: x["country"]), lambda c: c.isNotNull() & (c != "")))
     names = F.filter(F.transform(_p("armsInterventionsModule.interventions"), lambda x: x["name"]), lambda c: c.isNotNull() & (c != ""))
     nct = _text(_p("identificationModule.nctId"))
@@ -94,7 +98,8 @@ def study_records(s: DataFrame) -> DataFrame:
         _text(_p("sponsorCollaboratorsModule.leadSponsor.name")).alias("sponsor"), _text(_p("statusModule.startDateStruct.date")).alias("start_date"),
         _text(_p("statusModule.completionDateStruct.date")).alias("completion_date"), _p("designModule.enrollmentInfo.count").try_cast("int").alias("enrollment"),
         F.coalesce(names, F.array().cast("array<string>")).alias("intervention_names"), F.coalesce(countries, F.array().cast("array<string>")).alias("location_countries"),
-        _text(_p("descriptionModule.briefSummary")).alias("description"), _text(_p("eligibilityModule.eligibilityCriteria")).alias("eligibility_criteria"),
+        F.concat(F.lit("https://clinicaltrials.gov/study/"), nct).alias("url"), _text(_p("descriptionModule.briefSummary")).alias("description"),
+        _text(_p("eligibilityModule.eligibilityCriteria")).alias("eligibility_criteria"), *([F.col("raw_study")] if "raw_study" in s.columns else []),
     )
 
 

@@ -12,6 +12,7 @@ from cohortloom.functions import text as X
 from cohortloom.functions.udfs import batched_entities, compatible_lower, population_model, with_model_cache
 from cohortloom.operators import aggregates as A
 from cohortloom.operators import arms, components, dedup, demographics, eu_studies, harmonize, joins, runs, scd2, studies
+from cohortloom.plans import records_sql
 from cohortloom.session import materialize, table
 from cohortloom.sinks.writers import flat_columns
 
@@ -739,14 +740,14 @@ def _(s, d):
     return flat_columns(t)
 
 
-# ---------------------------------------------------------------- records (the raw text has no SQL form)
+# ---------------------------------------------------------------- records
 
 
 def _studies(s, d):
     return studies.typed_studies(table(s, d, "clinical_trials"), "raw_study", "row_id")
 
 
-@query("ref_j01_study_records")
+@query("ref_j01_study_records", records_sql.STUDY_RECORDS)
 def _(s, d):
     r = studies.study_records(_studies(s, d))
     return flat_columns(r)
@@ -772,37 +773,37 @@ def _(s, d):
     return r.select("eudract_number", F.explode("intervention_names").alias("name"))
 
 
-@query("ref_j06_trial_rows")
+@query("ref_j06_trial_rows", records_sql.TRIAL_ROWS)
 def _(s, d):
     return studies.trial_rows(_studies(s, d))
 
 
-@query("ref_j07_arm_rows")
+@query("ref_j07_arm_rows", records_sql.ARM_ROWS)
 def _(s, d):
     return studies.arm_rows(_studies(s, d))
 
 
-@query("ref_j08_arm_interventions")
+@query("ref_j08_arm_interventions", records_sql.ARM_INTERVENTIONS)
 def _(s, d):
     return studies.arm_intervention_rows(_studies(s, d), table(s, d, "drug_reference"))
 
 
-@query("ref_j09_baseline_rows")
+@query("ref_j09_baseline_rows", records_sql.BASELINE)
 def _(s, d):
     return studies.baseline_rows(_studies(s, d))
 
 
-@query("ref_j10_ae_rows")
+@query("ref_j10_ae_rows", records_sql.EVENTS)
 def _(s, d):
     return studies.ae_rows(_studies(s, d))
 
 
-@query("ref_j11_intervention_synonyms")
+@query("ref_j11_intervention_synonyms", records_sql.SYNONYMS)
 def _(s, d):
     return studies.intervention_synonyms(_studies(s, d)).select("nct_id", "name", F.array_join("synonyms", "|").alias("synonyms"))
 
 
-@query("ref_j12_mesh_pairs")
+@query("ref_j12_mesh_pairs", records_sql.MESH_PAIRS)
 def _(s, d):
     return studies.mesh_pairs(_studies(s, d))
 
