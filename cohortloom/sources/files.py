@@ -8,15 +8,16 @@ from pyspark.sql import types as T
 
 
 def cached_pages(spark: SparkSession, folder: str, schema: str | T.StructType) -> DataFrame:
-    """Studies of all ``page_*.json`` files below a folder, with file and position, which give the page order."""
+    """Studies of all ``page_*.json`` files below a folder, with page number, file and position, which give the page order."""
     pages = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "page_*.json").option("multiLine", True).json(folder)
-    return pages.select(F.col("_metadata.file_path").alias("file"), F.posexplode("studies").alias("pos", "study"))
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("long")
+    return pages.select(number.alias("page"), F.col("_metadata.file_path").alias("file"), F.posexplode("studies").alias("pos", "study"))
 
 
 def first_of_each_study(studies: DataFrame) -> DataFrame:
     """One row per study id, the first in page order; studies without id are left out."""
     nct = F.col("study.protocolSection.identificationModule.nctId")
-    return studies.where(nct.isNotNull()).groupBy(nct.alias("nct_id")).agg(F.min_by("study", F.struct("file", "pos")).alias("study"))
+    return studies.where(nct.isNotNull()).groupBy(nct.alias("nct_id")).agg(F.min_by("study", F.struct("page", "file", "pos")).alias("study"))
 
 
 def bulk_results(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -32,11 +33,18 @@ def tilde_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
 
 
 def csv_after_preamble(spark: SparkSession, path: str, columns: list[str], preamble: int = 3) -> DataFrame:
-    """A CSV whose first lines are no data: they and the header are dropped by their line number; keys and values are trimmed."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("no", "line"))
-    rows = whole.where((F.col("no") > preamble) & (F.trim("line") != ""))
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return rows.select(F.from_csv("line", schema).alias("r")).select(*[F.trim(F.col(f"r.`{c}`")).alias(c) for c in columns])
+    """A CSV whose first lines are no data: all rows behind the header, which names the first column; keys and values are trimmed.
+
+    A file without such a row loses its first ``preamble`` rows and one more. Quoted values may hold line breaks, so a
+    file is read by one task, row by row.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    raw = spark.read.schema(schema).option("multiLine", True).option("escape", '"').option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
+    placed = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_no"))
+    is_header = F.trim(F.col(f"`{columns[0]}`")) == columns[0]
+    start = placed.groupBy(F.col("_file").alias("_f")).agg(F.coalesce(F.min(F.when(is_header, F.col("_no"))), F.min("_no") + preamble).alias("_start"))
+    kept = placed.join(start, (F.col("_file") == F.col("_f")) & (F.col("_no") > F.col("_start")))
+    return kept.select(*[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in columns]).where(F.concat(*[F.col(f"`{c}`") for c in columns]) != "")
 
 
 def concept_names(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +72,11 @@ def drug_classes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def model_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A log of model results, one JSON object a line; the last line of each nct_id holds."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("no", "line")).where(F.trim("line") != "")
-    rows = lines.select("no", F.from_json("line", schema).alias("r")).where("r.nct_id is not null")
-    return rows.groupBy(F.col("r.nct_id").alias("nct_id")).agg(F.max_by("r", "no").alias("r")).select("nct_id", *[F.col(f"r.{f}") for f in T._parse_datatype_string(schema).fieldNames() if f != "nct_id"])
+    """A log of model results, one JSON object a line; the last line of each nct_id holds (of several files that of the last by name).
+
+    The log is split like any text; a line's place is its file, its split's first byte, and its number in the split.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select(place.alias("at"), "value").where(F.trim("value") != "")
+    rows = lines.select("at", F.from_json("value", schema).alias("r")).where("r.nct_id is not null")
+    return rows.groupBy(F.col("r.nct_id").alias("nct_id")).agg(F.max_by("r", "at").alias("r")).select("nct_id", *[F.col(f"r.{f}") for f in T._parse_datatype_string(schema).fieldNames() if f != "nct_id"])

@@ -31,8 +31,8 @@ def test_pages_and_first_of_each_study(spark, tmp_path):
 def test_delimited_files(spark, tmp_path):
     orange = write(tmp_path / "products.txt", 'Ingredient~Trade_Name~Appl_No\n A ~"B" x~001\nC\n\n')
     assert [tuple(r) for r in files.tilde_table(spark, orange, ["Ingredient", "Trade_Name", "Appl_No"]).collect()] == [("A", '"B" x', "001"), ("C", "", "")]
-    purple = write(tmp_path / "purple.csv", 'one\ntwo\nthree\nBLA Number,Proper Name\n 1 ,"x, y"\n\n2, z\n')
-    assert [tuple(r) for r in files.csv_after_preamble(spark, purple, ["BLA Number", "Proper Name"]).collect()] == [("1", "x, y"), ("2", "z")]
+    purple = write(tmp_path / "purple.csv", 'one\n\ntwo, "more\nwords"\nthree\nBLA Number,Proper Name\n 1 ,"x,\ny"\n\n2, z\n')
+    assert sorted(tuple(r) for r in files.csv_after_preamble(spark, purple, ["BLA Number", "Proper Name"]).collect()) == [("1", "x,\ny"), ("2", "z")]
     rrf = write(tmp_path / "RXNCONSO.RRF", "|".join(["11"] + ["x"] * 13 + ["Name", ""]) + "\n1|2|3\n")
     assert [tuple(r) for r in files.concept_names(spark, rrf).collect()] == [("11", "Name")]
     names = write(tmp_path / "drugs.txt", " a \n\nb\n")
@@ -56,12 +56,13 @@ def test_paged_service_replay_and_resume(spark, tmp_path):
     df = spark.read.format("httpjson").option("url", f"file://{base}").option("queries", "[{}, {}]").load()
     assert df.count() == 8 and df.where(F.col("page") == 2).count() == 2
     assert spark.read.format("httpjson").option("url", f"file://{base}").option("maxPages", "1").load().count() == 2
-    assert spark.read.format("httpjson").option("url", "file:///nowhere").load().count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        spark.read.format("httpjson").options(url="file:///nowhere", retries="1").load().count()
     folder = str(tmp_path / "cache")
-    assert httpjson.cache_pages(f"file://{base}", {}, folder, 2) == 2
-    assert httpjson.cache_pages(f"file://{base}", {}, folder) == 1
-    assert httpjson.cache_pages(f"file://{base}", {}, folder) == 0
-    assert sorted(os.listdir(folder)) == ["page_000.json", "page_001.json", "page_002.json"]
+    assert httpjson.cache_pages(spark, f"file://{base}", {}, folder, 2) == 2
+    assert httpjson.cache_pages(spark, f"file://{base}", {}, folder) == 1
+    assert httpjson.cache_pages(spark, f"file://{base}", {}, folder) == 0
+    assert sorted(f for f in os.listdir(folder) if not f.startswith(".")) == ["page_000000.json", "page_000001.json", "page_002.json".replace("002", "000002")]
     assert httpjson.page_url("https://x/y", {"a": "b c"}, "t") == "https://x/y?a=b+c&pageToken=t"
 
 
@@ -116,3 +117,49 @@ def test_report_beyond_its_bound_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         text_report(many.limit(1001), "Report")
     assert not (tmp_path / "s.json").exists() and len(text_report(many.limit(1000), "Report").split("\n")) == 1002
+
+
+def test_a_failed_page_fails_the_scan_and_waits_as_asked(spark, tmp_path, monkeypatch):
+    import email.message
+    import urllib.error
+
+    httpjson.register(spark)
+    write(tmp_path / "first.json", json.dumps({"studies": [1], "nextPageToken": "gone"}))
+    scan = spark.read.format("httpjson").options(url=f"file://{tmp_path}", retries="1").load()
+    with pytest.raises(Exception, match="FetchFailed|gone"):
+        scan.collect()
+    waits, answers = [], []
+
+    def answer(request, timeout):
+        headers = email.message.Message()
+        headers["Retry-After"] = "7"
+        answers.append(request.data)
+        raise urllib.error.HTTPError(request.full_url, 429 if len(answers) < 3 else 404, "no", headers, None)
+
+    monkeypatch.setattr(httpjson.urllib.request, "urlopen", answer)
+    with pytest.raises(httpjson.FetchFailed):
+        httpjson.fetch("https://x/y", 5, body={"a": 1}, sleep=waits.append)
+    assert waits == [7.0, 7.0] and answers == [b'{"a": 1}'] * 3
+
+
+def test_post_search_with_details(spark, tmp_path):
+    search, retrieve = tmp_path / "search", tmp_path / "retrieve"
+    search.mkdir(), retrieve.mkdir()
+    write(search / "1.json", json.dumps({"data": [{"ctNumber": "2020-1"}, {"x": 1}], "pagination": {"nextPage": True}}))
+    write(search / "2.json", json.dumps({"data": [{"ctNumber": "2020-2"}, {"ctNumber": "2020-1"}, {"ctNumber": "2020-3"}], "pagination": {"nextPage": False}}))
+    write(search / "3.json", json.dumps({"data": [{"ctNumber": "2020-4"}], "pagination": {"nextPage": False}}))
+    for n in ("2020-1", "2020-2", "2020-4"):
+        write(retrieve / f"{n}.json", json.dumps({"ctNumber": n}))
+    got = httpjson.eu_trials(spark, f"file://{search}", f"file://{retrieve}", {"medicalCondition": "x"}, retries=1).collect()
+    assert sorted(r.number for r in got) == ["2020-1", "2020-2"] and all(r.number in r.raw_trial for r in got)
+    assert httpjson.eu_trials(spark, f"file://{search}", f"file://{retrieve}", {}, max_pages=1, retries=1).count() == 1
+    write(retrieve / "first.json", json.dumps({"nctId": "N1"}))
+    assert json.loads(httpjson.one_study(spark, f"file://{retrieve}", 1).first().item) == {"nctId": "N1"}
+
+
+def test_pages_are_in_the_order_of_their_numbers(spark, tmp_path):
+    for n in (9, 10, 1000):
+        write(tmp_path / f"page_{n}.json", json.dumps({"studies": [{"n": n}], "nextPageToken": None if n == 1000 else "t"}))
+    pages = files.cached_pages(spark, str(tmp_path), "studies array<struct<n: int>>")
+    assert [r.study.n for r in pages.orderBy("page", "pos").collect()] == [9, 10, 1000]
+    assert httpjson.cache_pages(spark, f"file://{tmp_path}", {}, str(tmp_path)) == 0
