@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.plans import data_processing, reference
+from cohortloom.plans import agency_queries, data_processing, reference  # noqa: F401 - agency_queries adds to reference's tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**data_processing.QUERIES, **reference.QUERIES}
 SQL: dict[str, str] = {**data_processing.SQL, **reference.SQL}
