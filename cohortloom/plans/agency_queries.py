@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators import agencies as G
 from cohortloom.plans.reference import query
 from cohortloom.session import table
+from cohortloom.sinks import exports
 
 _NO = "array<string>"
 
@@ -162,3 +163,43 @@ def _(s, d):
 def _(s, d):
     first = table(s, d, "clinical_trials").agg(F.min("nct_id")).first()[0] or ""
     return G.terms_of_drug(_labels(s, d), first)
+
+
+# ---------------------------------------------------------------- exports
+
+
+@query("ref_w09_stored_trials", """SELECT trial_id, source, title, condition, status, phase, study_type, sponsor, start_date, completion_date, enrollment, url, coalesce(array_to_string(countries,'; '),'') AS countries, coalesce(array_to_string(interventions,'; '),'') AS interventions,
+CAST(0 AS INT) AS adverse_event_count, '' AS meddra_codes, data_collection_date FROM enriched_trials WHERE source='us_registry'""")
+def _(s, d):
+    return exports.stored_trials(table(s, d, "enriched_trials"), source="us_registry")
+
+
+@query("ref_w08_raw_records", "SELECT nct_id AS trial_id, raw_study AS raw FROM clinical_trials WHERE raw_study IS NOT NULL")
+def _(s, d):
+    return exports.raw_records(table(s, d, "clinical_trials").select(F.col("nct_id").alias("trial_id"), "raw_study", F.lit("us_registry").alias("source")), "raw_study", "us_registry")
+
+
+@query("ref_w07_harmonized_documents", """
+WITH i AS (SELECT nct_id, intervention_name AS n, min(ord) AS o FROM trial_interventions WHERE nct_id IS NOT NULL AND intervention_name IS NOT NULL GROUP BY 1,2)
+SELECT nct_id AS trial_id, '{"trial_title":'||to_json('T'||nct_id)::VARCHAR||',"source":"us_registry","drugs":{'||string_agg(to_json(n)::VARCHAR||':{"ndc_codes":["1","2","3","4","5"]}', ',' ORDER BY n)||'}}' AS document FROM i GROUP BY 1""")
+def _(s, d):
+    codes = F.array(*[F.lit(str(i)) for i in range(1, 8)])
+    i = table(s, d, "trial_interventions").select(F.col("nct_id").alias("trial_id"), F.concat(F.lit("T"), "nct_id").alias("title"), F.lit("us_registry").alias("source"), F.col("intervention_name").alias("drug_name"), codes.alias("ndc_codes"))
+    return exports.harmonized_documents(i)
+
+
+@query("ref_w13_harmonized_rows", "SELECT query_name, '' AS harmonized_drug_name, array_to_string(list_filter(sources_used, lambda x: x<>''),'; ') AS sources_used, CAST(CAST(confidence_score AS DECIMAL(10,2)) AS VARCHAR) AS confidence_score FROM (SELECT coalesce(query_name,'') AS query_name, coalesce(sources_used,CAST([] AS VARCHAR[])) AS sources_used, coalesce(confidence_score,0) AS confidence_score FROM harmonized_drug_queries)")
+def _(s, d):
+    t = table(s, d, "harmonized_drug_queries").select("query_name", "sources_used", F.coalesce("confidence_score", F.lit(0.0)).cast("decimal(10,2)").alias("confidence_score"))
+    return exports.harmonized_rows(t).select("query_name", "harmonized_drug_name", "sources_used", "confidence_score")
+
+
+@query("ref_w14_converted", "SELECT canonical_name AS query_name, array_to_string(CAST(aliases AS VARCHAR[]),' | ') AS aliases, source FROM drug_reference")
+def _(s, d):
+    return exports.converted(table(s, d, "drug_reference").select("source", F.from_json("aliases", _NO).alias("aliases"), F.col("canonical_name").alias("query_name")))
+
+
+@query("ref_s26_migrated", "SELECT canonical_name, CASE WHEN trim(aliases) LIKE '[%' THEN array_to_string(CAST(aliases AS VARCHAR[]),'|') ELSE '' END AS aliases, '' AS source FROM drug_reference")
+def _(s, d):
+    out = exports.migrated(table(s, d, "drug_reference").select("canonical_name", "aliases", "source"), ("aliases", "source"))
+    return out.select("canonical_name", F.array_join("aliases", "|").alias("aliases"), F.array_join("source", "|").alias("source"))

@@ -827,25 +827,33 @@ def _(s, d):
     return demographics.with_diversity_flag(demographics.cascade(t, b, dim))
 
 
-@query("ref_x01_model_cache")
-def _(s, d):
-    t = table(s, d, "documents").where("text is not null").select(F.col("doc_id").cast("string").alias("nct_id"), "text")
-    from cohortloom.functions.udfs import HIT
+def _names_japanese(text):
+    found = "japanese" in (text or "").lower()
+    return {"has_population_restriction": found, "population": "Japanese" if found else None}
+
 
-    cache = s.createDataFrame([], T.StructType([T.StructField("nct_id", T.StringType()), *HIT.fields]))
-    return with_model_cache(t, cache).select("nct_id", "hit.has_population_restriction")
+@query("ref_x01_model_cache", """
+SELECT CAST(doc_id AS VARCHAR) AS nct_id, CASE WHEN doc_id%3=0 THEN 'cached' WHEN contains(lower(text),'japanese') THEN 'Japanese' END AS population, CASE WHEN doc_id%3=0 THEN true ELSE contains(lower(text),'japanese') END AS restricted FROM documents WHERE text IS NOT NULL""")
+def _(s, d):
+    docs = table(s, d, "documents").where("text is not null")
+    hits = docs.where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("nct_id"), F.lit(True).alias("has_population_restriction"), F.lit("cached").alias("population"), F.lit(True).alias("is_inclusion_criterion"), F.lit(None).cast("string").alias("evidence_span"), F.lit(None).cast("string").alias("reasoning"))
+    out = with_model_cache(docs.select(F.col("doc_id").cast("string").alias("nct_id"), "text"), hits, _names_japanese)
+    return out.select("nct_id", "hit.population", F.col("hit.has_population_restriction").alias("restricted"))
 
 
-@query("ref_x02_batched_entities")
+@query("ref_x02_batched_entities", r"""
+SELECT name, array_to_string(list_filter(l, lambda x, i: list_position(l, x)=i),'|') AS entities FROM (SELECT DISTINCT intervention_name AS name, regexp_extract_all(lower(intervention_name),'[a-z]{4,}') AS l FROM trial_interventions WHERE intervention_name IS NOT NULL)""")
 def _(s, d):
+    import re
+
     n = table(s, d, "trial_interventions").where("intervention_name is not null").select(F.col("intervention_name").alias("name")).distinct()
-    return batched_entities(n, lambda xs: [x.lower().split() for x in xs]).select("name", F.array_join("entities", "|").alias("entities"))
+    return batched_entities(n, lambda xs: [re.findall(r"[a-z]{4,}", x.lower()) for x in xs]).select("name", F.array_join("entities", "|").alias("entities"))
 
 
-@query("ref_x01_model_struct")
+@query("ref_x01_model_struct", "SELECT trial_id, coalesce(contains(lower(eligibility_criteria),'japanese'),false) AS restricted, CASE WHEN contains(lower(eligibility_criteria),'japanese') THEN 'Japanese' END AS population FROM enriched_trials")
 def _(s, d):
-    t = table(s, d, "enriched_trials").select("trial_id", population_model()(F.col("eligibility_criteria")).alias("h"))
-    return t.select("trial_id", "h.has_population_restriction")
+    t = table(s, d, "enriched_trials").select("trial_id", population_model(_names_japanese)(F.col("eligibility_criteria")).alias("h"))
+    return t.select("trial_id", F.col("h.has_population_restriction").alias("restricted"), "h.population")
 
 
 # ---------------------------------------------------------------- further filters, joins and exports
@@ -948,7 +956,7 @@ def _(s, d):
     return t.where(F.size("c") > 0).select("row_id", F.array_join("c", ",").alias("codes"))
 
 
-@query("ref_t15_dashed_section")
+@query("ref_t15_dashed_section", r"SELECT * FROM (SELECT doc_id, regexp_replace(regexp_extract(text,'(?is)-{3,}\\s*INDICATIONS\\s*-{3,}(.*?)(\\n-{3,}|$)',1),'^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$','','g') AS section FROM documents) WHERE section <> ''")
 def _(s, d):
     return table(s, d, "documents").select("doc_id", X.section(F.col("text"), "INDICATIONS").alias("section")).where("section <> ''")
 

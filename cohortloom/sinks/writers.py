@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,28 +43,37 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
 
 
 class TableStore:
-    """A table that is replaced as a whole: a new version is written beside the old one, then a pointer is swapped."""
+    """A table that is replaced as a whole: a new version is written beside the old one, then a pointer is swapped.
+
+    Everything goes through the Hadoop file system, so the folder can be on any storage that Spark reaches. Versions
+    are numbered; the pointer is the largest number that has a mark, and a mark is made after its version is written,
+    so a run that dies leaves the old version in place.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        os.makedirs(folder, exist_ok=True)
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.fs.mkdirs(self._path())
+
+    def _path(self, *parts: str):
+        return self.jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
 
-    @property
-    def pointer(self) -> str:
-        return os.path.join(self.folder, "CURRENT")
+    def _current(self) -> int | None:
+        names = [f.getPath().getName() for f in self.fs.listStatus(self._path())]
+        return max((int(n.removeprefix("CURRENT-")) for n in names if n.startswith("CURRENT-")), default=None)
 
     def read(self) -> DataFrame | None:
-        if not os.path.exists(self.pointer):
-            return None
-        with open(self.pointer, encoding="utf-8") as f:
-            return self.spark.read.parquet(os.path.join(self.folder, f.read().strip()))
-
-    def replace(self, df: DataFrame) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(os.path.join(self.folder, version))
-        with open(self.pointer + ".part", "w", encoding="utf-8") as f:
-            f.write(version)
-        os.replace(self.pointer + ".part", self.pointer)
+        number = self._current()
+        return None if number is None else self.spark.read.parquet(f"{self.folder}/v-{number:08d}")
+
+    def replace(self, df: DataFrame, keep: int = 2) -> None:
+        number = (self._current() or 0) + 1
+        df.write.mode("overwrite").parquet(f"{self.folder}/v-{number:08d}")
+        self.fs.create(self._path(f"CURRENT-{number:08d}"), True).close()
+        for old in range(max(1, number - keep - 3), number - keep + 1):  # readers of the version before may still be at work
+            self.fs.delete(self._path(f"CURRENT-{old:08d}"), False)
+            self.fs.delete(self._path(f"v-{old:08d}"), True)
 
 
 def summary_file(report: DataFrame, path: str) -> None:

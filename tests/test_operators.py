@@ -288,3 +288,15 @@ def test_merged_rows_keep_long_ids_whole(spark):
     a, b = "x" * 1500 + "a", "x" * 1500 + "b"
     rows = spark.createDataFrame([(a, ["one"]), (b, ["One", "two"]), ("c", ["three"])], "id string, names array<string>")
     assert {r.id: r.group for r in harmonize.merged_rows(rows, "id", "names").collect()} == {a: a, b: a, "c": "c"}
+
+
+def test_synonym_closure_in_one_task_and_in_rounds(spark, monkeypatch):
+    from cohortloom.operators import components
+
+    pairs = [("b", "a"), ("c", "b"), ("z", "é"), ("d", "d"), (None, "a"), ("x3", "x2"), ("x2", "x1"), ("x4", "x3"), ("c", "b")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    one = {tuple(r) for r in components.synonym_groups(df).collect()}
+    monkeypatch.setattr(components, "TASK_PAIRS", 0)
+    assert one == {tuple(r) for r in components.synonym_groups(df).collect()}
+    assert one == {("a", "a"), ("b", "a"), ("c", "a"), ("z", "z"), ("é", "z"), ("d", "d"), *[(f"x{i}", "x1") for i in range(1, 5)]}
+    assert components.synonym_groups(df.limit(0)).count() == 0

@@ -163,3 +163,30 @@ def test_pages_are_in_the_order_of_their_numbers(spark, tmp_path):
     pages = files.cached_pages(spark, str(tmp_path), "studies array<struct<n: int>>")
     assert [r.study.n for r in pages.orderBy("page", "pos").collect()] == [9, 10, 1000]
     assert httpjson.cache_pages(spark, f"file://{tmp_path}", {}, str(tmp_path)) == 0
+
+
+def test_store_and_migration(spark):
+    from cohortloom.sinks import exports
+
+    exports.create_store(spark, "loomtest", "trial_id STRING, status STRING")
+    exports.create_store(spark, "loomtest", "trial_id STRING, status STRING")
+    try:
+        spark.sql("INSERT INTO loomtest.trials_scd2 VALUES ('a', 'x', timestamp'2020-01-01', null, 1, 'h', 'INSERT', null, true), ('a', 'y', timestamp'2019-01-01', timestamp'2020-01-01', 1, 'h', 'INSERT', null, false)")
+        assert [r.status for r in spark.table("loomtest.trials_current").collect()] == ["x"]
+        assert {(r.name, r.is_view) for r in exports.tables_of(spark, "loomtest").collect()} == {("trials_scd2", False), ("pipeline_runs", False), ("trial_change_log", False), ("trials_current", True)}
+    finally:
+        spark.sql("DROP DATABASE loomtest CASCADE")
+    old = spark.createDataFrame([('["a", null]', "broken"), (None, '{"k": 1}'), ("[1, 2", "")], "countries string, interventions string")
+    assert [(r.countries, r.interventions) for r in exports.migrated(old).collect()] == [(["a", None], []), ([], []), ([], [])]
+
+
+def test_exports_with_nulls(spark):
+    from cohortloom.sinks import exports
+
+    drugs = spark.createDataFrame([("q", ["a", None, ""], None, 0.5), (None, None, None, None)], "query_name string, route array<string>, extra string, confidence_score double")
+    rows = exports.harmonized_rows(drugs).collect()
+    assert len(rows[0]) == 21 and (rows[0].route, rows[0].confidence_score, rows[1].query_name, rows[1].ndc_codes) == ("a", "0.5", "", "")
+    odd = spark.createDataFrame([([1, None], {"x": 1}, "q")], "b array<int>, a map<string, int>, query_name string")
+    assert exports.converted(odd).columns == ["query_name", "a", "b"] and tuple(exports.converted(odd).first()) == ("q", '{"x":1}', "1")
+    groups = spark.createDataFrame([("c", ["a", "b"], None, 2)], "canonical_name string, synonyms array<string>, nct_ids array<string>, synonym_count int")
+    assert tuple(exports.name_group_rows(groups).first()) == ("c", "a | b", "", 2)
