@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.components import least_labels
 from cohortloom.session import materialize
 
 #: The breadth-first peel goes on while a frontier holds at least this share of what was reached already ...
 FRONTIER_SHARE = 0.05
 #: ... and at most so many rounds; whatever it has not reached by then is left to the propagation, exactly.
 PEEL_ROUNDS = 12
+#: Edges that are few enough for the propagation to end in one task (16 bytes each); more are contracted in rounds of joins.
+TASK_EDGES = 200_000
 
 
 def _peel(sym: DataFrame) -> tuple[int, DataFrame]:
@@ -35,30 +42,43 @@ def _peel(sym: DataFrame) -> tuple[int, DataFrame]:
     return hub, visited
 
 
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) of the vertices of at most TASK_EDGES edges by minimum propagation."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    a, b = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in (0, 1))
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = least_labels(place[: len(a)], place[len(a) :], len(ids))
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], names=["id", "root"])
+
+
 def _propagate(edges: DataFrame) -> DataFrame | None:
     """(id, root) of every vertex of ``edges`` (a, b): minimum propagation with contraction.
 
     In each round every vertex takes the neighbour (or itself) of least priority, edges move to those, and loops
-    and repeats vanish; priorities are new in each round, so even long chains shrink geometrically. The maps of
-    the rounds are composed from the smallest up.
+    and repeats vanish; priorities are new in each round, so even long chains shrink geometrically. As soon as at
+    most TASK_EDGES edges are left, their minima are propagated in one task. The maps of the rounds are composed
+    from the smallest up.
     """
-    maps, k = [], 0
-    while True:
+    maps, k, size = [], 0, edges.count()
+    while size > TASK_EDGES:
         sym = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), c.alias("id"))  # noqa: B023, E731
         rep = sym.groupBy(F.col("src").alias("id")).agg(F.min(rank(F.col("dst"))).alias("m")).select("id", F.least("m", rank(F.col("id")))["id"].alias("rep"))
         rep = materialize(rep, "rep")
-        if rep.isEmpty():
-            break
         maps.append(rep)
         moved = edges.join(rep.select(F.col("id").alias("a"), F.col("rep").alias("ra")), "a").join(rep.select(F.col("id").alias("b"), F.col("rep").alias("rb")), "b")
         edges = materialize(moved.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
-        k += 1
-    if not maps:
+        k, size = k + 1, edges.count()
+    if not maps and not size:
         return None
-    out = maps[-1].select("id", F.col("rep").alias("root"))
-    for rep in reversed(maps[:-1]):
-        out = materialize(rep.join(out.select(F.col("id").alias("rep"), "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("root")), "roots")
+    out = materialize(edges.select("a", "b").coalesce(1).mapInArrow(_in_one_task, "id long, root long"), "roots") if size else None
+    for rep in reversed(maps):
+        far = rep.select("id", F.col("rep").alias("root"))
+        if out is not None:
+            far = rep.join(out.select(F.col("id").alias("rep"), "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("root"))
+        out = materialize(far, "roots")
     return out
 
 

@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from cohortloom.llm import components
 from cohortloom.llm.components import connected_groups, mention_groups
 
 
@@ -31,7 +34,9 @@ def run(spark, ids, edges):
     return {tuple(r) for r in connected_groups(v, e).collect()}
 
 
-def test_long_chain_hub_and_small_groups(spark):
+@pytest.mark.parametrize("task_edges", [200_000, 60, 0])
+def test_long_chain_hub_and_small_groups(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
     rng = random.Random(1)
     hub = [(1000, 1000 + i) for i in range(1, 300)]
     chain = [(2000 + i, 2001 + i) for i in range(120)] + [(1005, 2000)]
