@@ -37,4 +37,8 @@ l AS (SELECT *, lag(ts) OVER w AS pts, lag(st) OVER w AS pst, lag(en) OVER w AS
 SELECT trial_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS valid_from
 FROM l WHERE pts IS NULL OR pst <> st OR pen <> en OR pcd <> cd"""
 
-SQL = {"p1_found": _VERSIONS}
+_PERIODS = _VERSIONS[: _VERSIONS.index("SELECT trial_id, strftime")] + """, g AS (SELECT *, sum(CASE WHEN pts IS NULL OR pst <> st OR pen <> en OR pcd <> cd THEN 1 ELSE 0 END) OVER (PARTITION BY trial_id ORDER BY ts) AS v FROM l),
+r AS (SELECT trial_id, v, min(ts) AS valid_from, max(ts) AS last_seen, count(*) AS observations, any_value(st) AS st, any_value(en) AS en, any_value(cd) AS cd FROM g GROUP BY 1, 2)
+SELECT trial_id AS entity, '{"status":'||to_json(st)::VARCHAR||',"enrollment":'||to_json(en)::VARCHAR||',"completion_date":'||to_json(cd)::VARCHAR||'}' AS payload, valid_from, last_seen, lead(valid_from) OVER (PARTITION BY trial_id ORDER BY valid_from) AS valid_to, observations FROM r"""
+
+SQL = {"p1_found": _VERSIONS, "p1_versions": _PERIODS}

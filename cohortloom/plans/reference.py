@@ -13,6 +13,7 @@ from cohortloom.functions.udfs import batched_entities, compatible_lower, popula
 from cohortloom.operators import aggregates as A
 from cohortloom.operators import arms, components, dedup, demographics, eu_studies, harmonize, joins, runs, scd2, studies
 from cohortloom.plans import records_sql
+from cohortloom.plans import sql_literals as L
 from cohortloom.session import materialize, table
 from cohortloom.sinks.writers import flat_columns
 
@@ -129,7 +130,7 @@ def _(s, d):
 
 
 _SOC = "CASE WHEN regexp_matches(lower(k),'pulmonary|respiratory|lung|breath|cough|dyspnoea') THEN 'Respiratory, thoracic and mediastinal disorders' WHEN regexp_matches(lower(k),'nausea|diarrhoea|vomiting|abdominal|gastro') THEN 'Gastrointestinal disorders' WHEN regexp_matches(lower(k),'liver|hepatic|transaminase|bilirubin') THEN 'Hepatobiliary disorders' WHEN regexp_matches(lower(k),'rash|skin|photosensitivity|dermatitis') THEN 'Skin and subcutaneous tissue disorders' WHEN regexp_matches(lower(k),'test|laboratory|abnormal|decreased|increased') THEN 'Investigations' WHEN regexp_matches(lower(k),'fatigue|weight|appetite|fever|pain') THEN 'General disorders and administration site conditions' ELSE 'Other' END"
-_KEYWORDS = ", ".join(f"('{k}')" for k in X.AE_CODES)
+_KEYWORDS = ", ".join(f"('{k}')" for k in L.AE_CODES)
 
 
 @query("ref_a11_event_patterns", f"""
@@ -139,6 +140,14 @@ def _(s, d):
     return e.groupBy(F.col("e.keyword").alias("keyword"), X.soc_category(F.col("e.keyword")).alias("soc")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("ref_a11_top_terms", f"""
+WITH k(k) AS (VALUES {_KEYWORDS}), c AS (SELECT k AS keyword, count(*) AS n FROM clinical_trials JOIN k ON contains(lower(raw_study), k) GROUP BY 1) SELECT keyword, n, CAST((SELECT sum(n) FROM c) AS BIGINT) AS total FROM c ORDER BY n DESC, keyword LIMIT 10""")
+def _(s, d):
+    e = table(s, d, "clinical_trials").select(F.explode(X.adverse_events(F.col("raw_study"))).alias("e")).select(F.col("e.keyword").alias("keyword"))
+    counts = e.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))  # at most one row for each keyword
+    return dedup.top_counts(e, "keyword", "keyword", 10).join(joins.small(counts.agg(F.sum("n").alias("total"))), F.lit(True))
+
+
 @query("ref_a12_count", "SELECT count(*) AS n FROM enriched_trials")
 def _(s, d):
     return table(s, d, "enriched_trials").agg(F.count(F.lit(1)).alias("n"))
@@ -179,6 +188,12 @@ def _(s, d):
     return A.quality_issues(table(s, d, "enriched_trials"), ["title", "sponsor", "start_date"], "trial_id").groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("ref_a15_first_issues", """
+SELECT trial_id, issue FROM (SELECT trial_id, 'missing title' AS issue FROM enriched_trials WHERE trim(coalesce(title,''))='' UNION ALL SELECT trial_id, 'missing sponsor' FROM enriched_trials WHERE trim(coalesce(sponsor,''))='' UNION ALL SELECT trial_id, 'missing start_date' FROM enriched_trials WHERE trim(coalesce(start_date,''))='') ORDER BY trial_id NULLS FIRST, issue LIMIT 50""")
+def _(s, d):
+    return A.quality_issues(table(s, d, "enriched_trials"), ["title", "sponsor", "start_date"], "trial_id").orderBy("trial_id", "issue").limit(50)
+
+
 @query("ref_a16_mode_first_seen", """
 WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS f FROM orders WHERE o_orderpriority<>'' GROUP BY 1,2)
 SELECT o_custkey, o_orderpriority, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, f) AS rn FROM c) WHERE rn=1""")
@@ -361,7 +376,7 @@ def _(s, d):
     return table(s, d, "trial_interventions").where(X.is_placebo_name(F.trim("intervention_name"))).select("name_id")
 
 
-@query("ref_p10_clean_alias", f"SELECT name_id FROM trial_interventions WHERE intervention_name<>'' AND length(intervention_name)<=40 AND NOT regexp_matches(lower(intervention_name), '{X.ALIAS_NOISE}')")
+@query("ref_p10_clean_alias", f"SELECT name_id FROM trial_interventions WHERE intervention_name<>'' AND length(intervention_name)<=40 AND NOT regexp_matches(lower(intervention_name), '{L.ALIAS_NOISE}')")
 def _(s, d):
     return table(s, d, "trial_interventions").where(X.is_clean_alias(F.col("intervention_name"))).select("name_id")
 
@@ -607,7 +622,7 @@ def _(s, d):
 
 
 _ARM = "lower(trim(regexp_replace(coalesce(intervention_name,''),'[–—−]','-','g'),' '))"
-for _pattern in (X.ARM_PREFIX, X.ARM_DOSE, X.ARM_FREQUENCY):
+for _pattern in (L.ARM_PREFIX, L.ARM_DOSE, L.ARM_FREQUENCY):
     _ARM = f"regexp_replace({_ARM},'{_pattern}','','g')"
 
 
@@ -616,12 +631,27 @@ def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", X.arm_key(F.col("intervention_name")).alias("k"))
 
 
-@query("ref_t03_drug_key", f"SELECT name_id, regexp_replace(regexp_replace(trim(lower(intervention_name),' '),'{X.FORM_WORDS}','','g'),'{X.DOSE}','','g') AS k FROM trial_interventions")
+_ARM_KEY = rf"trim(regexp_replace(replace(replace({_ARM},'+',' + '),'/',' / '),'[ \t\n\x0B\f\r]+',' ','g'),' -:–—')"
+
+
+@query("ref_r21_exact_arms", rf"""
+WITH t0 AS (SELECT nct_id, 'Experimental: '||coalesce(intervention_name,'') AS intervention_name, ord, name_id FROM trial_interventions WHERE ord%2=0),
+a AS (SELECT nct_id, intervention_name AS label, row_number() OVER (PARTITION BY nct_id ORDER BY ord, name_id)-1 AS place, {_ARM_KEY} AS k FROM trial_interventions), t AS (SELECT nct_id, intervention_name AS title, row_number() OVER (PARTITION BY nct_id ORDER BY -ord, name_id)-1 AS place, {_ARM_KEY} AS k FROM t0),
+an AS (SELECT *, row_number() OVER (PARTITION BY nct_id, k ORDER BY place) AS nth FROM a), tn AS (SELECT *, row_number() OVER (PARTITION BY nct_id, k ORDER BY place) AS nth FROM t)
+SELECT an.nct_id, CAST(an.place AS INT) AS place, coalesce(an.label,'') AS arm_label, CAST(tn.place AS INT) AS title_place, tn.title AS matched_to FROM an LEFT JOIN tn ON an.nct_id=tn.nct_id AND an.k=tn.k AND an.nth=tn.nth""")
+def _(s, d):
+    i = table(s, d, "trial_interventions")
+    a = i.select("nct_id", F.struct("ord", "name_id").alias("arm_no"), F.col("intervention_name").alias("arm_label"))
+    t = i.where("ord % 2 = 0").select("nct_id", F.struct(-F.col("ord"), "name_id").alias("title_no"), F.concat(F.lit("Experimental: "), F.coalesce("intervention_name", F.lit(""))).alias("title"))
+    return arms.exact_arms(a, t).select("nct_id", "place", "arm_label", "title_place", "matched_to")
+
+
+@query("ref_t03_drug_key", f"SELECT name_id, regexp_replace(regexp_replace(trim(lower(intervention_name),' '),'{L.FORM_WORDS}','','g'),'{L.DOSE}','','g') AS k FROM trial_interventions")
 def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", X.drug_key(F.col("intervention_name")).alias("k"))
 
 
-@query("ref_t04_prefix_strip", f"SELECT name_id, trim(regexp_replace(intervention_name,'(?i){X.INTERVENTION_PREFIX}',''),' ') AS k FROM trial_interventions")
+@query("ref_t04_prefix_strip", f"SELECT name_id, trim(regexp_replace(intervention_name,'(?i){L.INTERVENTION_PREFIX}',''),' ') AS k FROM trial_interventions")
 def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", X.intervention_name(F.col("intervention_name")).alias("k"))
 
@@ -633,7 +663,7 @@ def _(s, d):
 
 @query("ref_t07_mined_interventions")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", F.array_join(X.mined_interventions(F.col("text"), ["pirfenidone", "nintedanib", "prednisone"]), "|").alias("names"))
+    return table(s, d, "documents").select("doc_id", F.array_join(X.mined_interventions(F.col("text"), eu_studies.KNOWN_DRUGS), "|").alias("names"))
 
 
 @query("ref_t08_population_mention")
@@ -641,7 +671,7 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", X.population_mention(F.col("text")).alias("m")).where("m is not null").select("doc_id", "m.*")
 
 
-@query("ref_t09_biomarkers", "SELECT doc_id, nullif(concat_ws('; ', " + ", ".join(f"CASE WHEN regexp_matches(lower(text), '{p}') THEN '{l}' END" for p, l in X.BIOMARKERS) + "),'') AS signal FROM documents")
+@query("ref_t09_biomarkers", "SELECT doc_id, nullif(concat_ws('; ', " + ", ".join(f"CASE WHEN regexp_matches(lower(text), '{p}') THEN '{l}' END" for p, l in L.BIOMARKERS) + "),'') AS signal FROM documents")
 def _(s, d):
     return table(s, d, "documents").select("doc_id", X.biomarker_signal(F.col("text")).alias("signal"))
 
@@ -658,7 +688,7 @@ def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", compatible_lower("intervention_name").alias("k"))
 
 
-@query("ref_t12_without_salts", "SELECT name_id, trim(regexp_replace(lower(intervention_name),'" + X.SALTS + "',''),' ') AS k FROM trial_interventions")
+@query("ref_t12_without_salts", "SELECT name_id, trim(regexp_replace(lower(intervention_name),'" + L.SALTS + "',''),' ') AS k FROM trial_interventions")
 def _(s, d):
     return table(s, d, "trial_interventions").select("name_id", X.without_salts(F.col("intervention_name")).alias("k"))
 
@@ -679,7 +709,10 @@ def _(s, d):
     return table(s, d, "drug_reference").select("canonical_name", X.any_of_query(F.from_json("aliases", "array<string>")).alias("expr"))
 
 
-@query("ref_t18_budget_batches")
+@query("ref_t18_budget_batches", """
+WITH RECURSIVE n AS (SELECT canonical_name AS name, row_number() OVER (ORDER BY canonical_name) AS i, strlen(CASE WHEN contains(canonical_name,' ') THEN '"'||canonical_name||'"' ELSE canonical_name END) AS q FROM drug_reference),
+r AS (SELECT i, name, 0 AS batch, q AS len FROM n WHERE i=1 UNION ALL SELECT n.i, n.name, CASE WHEN r.len+4+n.q+2>500 THEN r.batch+1 ELSE r.batch END, CASE WHEN r.len+4+n.q+2>500 THEN n.q ELSE r.len+4+n.q END FROM r JOIN n ON n.i=r.i+1)
+SELECT CAST(batch AS INT) AS batch, string_agg(name,'|' ORDER BY i) AS names FROM r GROUP BY 1""")
 def _(s, d):
     names = table(s, d, "drug_reference").agg(F.array_sort(F.collect_list("canonical_name")).alias("n"))  # a fixed list of a few hundred names
     return names.select(F.posexplode(X.budget_batches(F.col("n"), 500)).alias("batch", "names")).select("batch", F.array_join("names", "|").alias("names"))
@@ -723,7 +756,7 @@ def _(s, d):
     return table(s, d, "clinical_trials").where("raw_study is not null").orderBy(F.desc("fetched_at"), F.desc("row_id")).limit(10).select("row_id", F.length("raw_study").alias("size"))
 
 
-_CODES = "(SELECT string_agg(DISTINCT c,',' ORDER BY c) FROM (VALUES " + ", ".join(f"('{k}','{c}')" for k, c in X.AE_CODES.items()) + ") v(k,c) WHERE contains(lower(%s), k))"
+_CODES = "(SELECT string_agg(DISTINCT c,',' ORDER BY c) FROM (VALUES " + ", ".join(f"('{k}','{c}')" for k, c in L.AE_CODES.items()) + ") v(k,c) WHERE contains(lower(%s), k))"
 
 
 @query("ref_t29_enriched", f"""
@@ -753,7 +786,9 @@ def _(s, d):
     return flat_columns(r)
 
 
-@query("ref_j02_legacy_records")
+@query("ref_j02_legacy_records", """
+SELECT coalesce(nct_id,'') AS nct_id, coalesce(title,'') AS title, '' AS condition, '' AS status, CAST(NULL AS VARCHAR) AS phase, '' AS study_type, '' AS sponsor, '' AS start_date, '' AS completion_date,
+coalesce(array_to_string(list_filter(intervention_names, lambda x: x<>''),'|'),'') AS intervention_names, coalesce(array_to_string(list_filter(location_countries, lambda c, i: c<>'' AND list_position(location_countries, c)=i),'|'),'') AS location_countries FROM clinical_trials""")
 def _(s, d):
     t = table(s, d, "clinical_trials")
     loc = F.transform("location_countries", lambda c: F.struct(F.struct(c.alias("Country")).alias("GeoPoint")))
@@ -950,7 +985,7 @@ def _(s, d):
     return a.unionByName(b).unionByName(c.join(a.unionByName(b), "c_custkey", "left_anti").select("c_custkey", F.lit("NONE").alias("tier")))
 
 
-@query("ref_t06_event_codes", f"WITH k(k, c) AS (VALUES {', '.join(f"('{k}','{c}')" for k, c in X.AE_CODES.items())}) SELECT row_id, string_agg(DISTINCT c,',' ORDER BY c) AS codes FROM clinical_trials JOIN k ON contains(lower(raw_study), k) GROUP BY 1")
+@query("ref_t06_event_codes", f"WITH k(k, c) AS (VALUES {', '.join(f"('{k}','{c}')" for k, c in L.AE_CODES.items())}) SELECT row_id, string_agg(DISTINCT c,',' ORDER BY c) AS codes FROM clinical_trials JOIN k ON contains(lower(raw_study), k) GROUP BY 1")
 def _(s, d):
     t = table(s, d, "clinical_trials").select("row_id", F.array_sort(F.array_distinct(F.transform(X.adverse_events(F.col("raw_study")), lambda e: e["code"]))).alias("c"))
     return t.where(F.size("c") > 0).select("row_id", F.array_join("c", ",").alias("codes"))
@@ -968,7 +1003,7 @@ def _(s, d):
 
 
 @query("ref_t27_drug_rows", f"""
-SELECT canonical_name, rxcui, to_json(list_sort(list_distinct(list_filter(list_concat([canonical_name], CAST(aliases AS VARCHAR[])), lambda a: a<>'' AND length(a)<=40 AND NOT regexp_matches(lower(a), '{X.ALIAS_NOISE}')))))::VARCHAR AS aliases FROM drug_reference""")
+SELECT canonical_name, rxcui, to_json(list_sort(list_distinct(list_filter(list_concat([canonical_name], CAST(aliases AS VARCHAR[])), lambda a: a<>'' AND length(a)<=40 AND NOT regexp_matches(lower(a), '{L.ALIAS_NOISE}')))))::VARCHAR AS aliases FROM drug_reference""")
 def _(s, d):
     g = table(s, d, "drug_reference").select(F.col("canonical_name").alias("generic_name"), "rxcui", F.from_json("aliases", "array<string>").alias("brand_names"), F.lit(None).cast("array<string>").alias("synonyms"))
     return harmonize.drug_rows(g)

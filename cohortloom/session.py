@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,26 @@ def drop_scratch(spark: SparkSession) -> bool:
     return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end, when the results that read them have been written.
+
+        with scratch_scope(spark):
+            query(spark, folder).write.parquet(target)
+    """
+    _SCOPES.append(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path("/".join([_scratch_root(spark), *_SCOPES]))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _SCOPES.pop()
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back.
 
@@ -79,7 +101,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     re-read from shared storage. The written schema is kept, and an empty frame gives an empty table.
     """
     spark = df.sparkSession
-    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = "/".join([_scratch_root(spark), *_SCOPES, f"{label}-{uuid.uuid4().hex}"])
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
