@@ -46,10 +46,10 @@ def _listed(c: Column) -> Column:
 
 
 def eu_records(df: DataFrame, text: str) -> DataFrame:
-    """The common fields of each readable EU record; alternative places are tried in order."""
-    typed = regular_json(df, text, EU_ARRAYS).select(F.from_json("_json", EU_RECORD).alias("r"))
+    """The fields of each readable EU record, with the raw text as ``raw_trial``; alternative places are tried in order."""
+    typed = regular_json(df.select(F.col(text).alias("raw_trial"), F.col(text).alias("_text")), "_text", EU_ARRAYS, "raw_trial").select("raw_trial", F.from_json("_json", EU_RECORD).alias("r"))
     p = F.coalesce("r.authorizedApplication.authorizedPartI", "r.authorizedApplication.partI", "r.application.partI")
-    t = typed.select("r.ctNumber", "r.ctStatus", "r.decisionDate", p.alias("p"))
+    t = typed.select("raw_trial", "r.ctNumber", "r.ctStatus", "r.decisionDate", p.alias("p"))
     info = "p.trialDetails.trialInformation"
     ids = "p.trialDetails.clinicalTrialIdentifiers"
     sponsor = F.array_compact(F.transform("p.sponsors", lambda s: _some(s["organisation"]["organisationFullName"], s["organisation"]["name"], s["organisation"]["organisationName"], s["organization"]["organisationFullName"], s["organization"]["name"], s["organization"]["organisationName"], s["organisationName"], s["name"])))
@@ -71,6 +71,7 @@ def eu_records(df: DataFrame, text: str) -> DataFrame:
         F.when(F.coalesce(second, F.lit("")) != "", F.concat(main, F.lit("; Secondary: "), second)).otherwise(main).alias("description"),
         lines(f"{info}.eligibilityCriteria.principalInclusionCriteria", "principalInclusionCriteria").alias("inclusion_criteria"),
         lines(f"{info}.eligibilityCriteria.principalExclusionCriteria", "principalExclusionCriteria").alias("exclusion_criteria"), names.alias("intervention_names"),
+        F.concat(F.lit("https://euclinicaltrials.eu/ctis-public/view/"), "ctNumber").alias("url"), "raw_trial",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions import text as X
+from cohortloom.functions.sections import section_under
 from cohortloom.functions.udfs import batched_entities, compatible_lower, population_model, with_model_cache
 from cohortloom.operators import aggregates as A
 from cohortloom.operators import arms, components, dedup, demographics, eu_studies, harmonize, joins, runs, scd2, studies
@@ -799,7 +800,7 @@ def _(s, d):
 
 @query("ref_j03_eu_records")
 def _(s, d):
-    return flat_columns(eu_studies.eu_records(table(s, d, "eu_clinical_trials"), "raw_trial"), "|")
+    return flat_columns(eu_studies.eu_records(table(s, d, "eu_clinical_trials"), "raw_trial").drop("raw_trial"), "|")
 
 
 @query("ref_j04_eu_interventions")
@@ -991,6 +992,16 @@ def _(s, d):
     return t.where(F.size("c") > 0).select("row_id", F.array_join("c", ",").alias("codes"))
 
 
+@query("ref_t14_label_section", """
+SELECT doc_id, CASE WHEN length(w) > 100 THEN w END AS section FROM (SELECT doc_id, trim(regexp_replace(CASE WHEN doc_id%2=0 THEN 'Use '||repeat('it well. ', CAST(doc_id%40 AS INT)) ELSE 'See '||repeat('the rest. ', CAST(doc_id%40 AS INT)) END,'\\s+',' ','g'),' ') AS w FROM documents)""")
+def _(s, d):
+    t = table(s, d, "documents")
+    n = (F.col("doc_id") % 40).cast("int")
+    even = F.concat(F.lit("HIGHLIGHTS\n1 INDICATIONS AND USAGE\nUse "), F.repeat(F.lit("it well.\n"), n), F.lit("2 DOSAGE AND ADMINISTRATION\nmore"))
+    odd = F.concat(F.lit("----\nIndications and Usage\n----\nSee "), F.repeat(F.lit("the rest.\n"), n), F.lit("------\nOTHER\nno"))
+    return t.select("doc_id", section_under()(F.when(F.col("doc_id") % 2 == 0, even).otherwise(odd)).alias("section"))
+
+
 @query("ref_t15_dashed_section", r"SELECT * FROM (SELECT doc_id, regexp_replace(regexp_extract(text,'(?is)-{3,}\\s*INDICATIONS\\s*-{3,}(.*?)(\\n-{3,}|$)',1),'^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$','','g') AS section FROM documents) WHERE section <> ''")
 def _(s, d):
     return table(s, d, "documents").select("doc_id", X.section(F.col("text"), "INDICATIONS").alias("section")).where("section <> ''")
