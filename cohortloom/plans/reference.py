@@ -672,6 +672,26 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", X.population_mention(F.col("text")).alias("m")).where("m is not null").select("doc_id", "m.*")
 
 
+@query("ref_t07_mined_cases", "SELECT p_partkey, CASE WHEN p_partkey%2=0 THEN 'esbriet|ofev|Brand|Given|TwoPart' ELSE 'ofev|Brand|Given|TwoPart' END AS names FROM part")
+def _(s, d):
+    text = F.concat(F.split_part("p_brand", F.lit("#"), F.lit(1)), F.lit(" Ofev, Given TwoPart abc Xyz"), F.when(F.col("p_partkey") % 2 == 0, " ESBRIET Given").otherwise(""))
+    return table(s, d, "part").select("p_partkey", F.array_join(X.mined_interventions(text, eu_studies.KNOWN_DRUGS), "|").alias("names"))
+
+
+_MENTIONS = ["A study in Japanese patients", "Excluding Japanese patients", "In non-Korean subjects", "White men, then East Asian adults", "Without Chinese participants", "No restriction"]
+
+
+@query("ref_t08_population_cases", "SELECT c_custkey, CASE c_custkey%6 WHEN 0 THEN 'Japanese' ELSE 'East Asian' END AS population, CASE c_custkey%6 WHEN 0 THEN 'patient' ELSE 'adult' END AS context FROM customer WHERE c_custkey%6 IN (0, 3)")
+def _(s, d):
+    text = F.get(F.array(*[F.lit(t) for t in _MENTIONS]), (F.col("c_custkey") % 6).cast("int"))
+    return table(s, d, "customer").select("c_custkey", X.population_mention(text).alias("m")).where("m is not null").select("c_custkey", "m.population", "m.context")
+
+
+@query("ref_t11_compatible_cases", "SELECT c_custkey, 'abc fi '||lower(c_name)||' 2' AS k FROM customer")
+def _(s, d):
+    return table(s, d, "customer").select("c_custkey", compatible_lower(F.concat(F.lit("  ＡＢＣ\u00a0ﬁ \t"), "c_name", F.lit(" ² "))).alias("k"))
+
+
 @query("ref_t09_biomarkers", "SELECT doc_id, nullif(concat_ws('; ', " + ", ".join(f"CASE WHEN regexp_matches(lower(text), '{p}') THEN '{l}' END" for p, l in L.BIOMARKERS) + "),'') AS signal FROM documents")
 def _(s, d):
     return table(s, d, "documents").select("doc_id", X.biomarker_signal(F.col("text")).alias("signal"))

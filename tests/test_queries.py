@@ -21,4 +21,4 @@ def test_equals_sql(spark, small, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, small, name):
     df = QUERIES[name](spark, small)
-    assert df.columns and df.count() >= 0
+    assert df.columns and (df.count() > 0 or name == "ref_t08_population_mention")  # no document of the small table restricts its population
