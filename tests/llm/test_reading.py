@@ -91,3 +91,30 @@ def test_fitted_on_graded_documents_of_any_length_and_no_others(spark, monkeypat
     assert len(text) * 60 > 20_000
     assert reading_levels(spark.createDataFrame(rows, DOCS), labels).count() == 3
     assert fitted == [[1.0, 2.0]]
+
+
+def test_fitted_on_all_graded_documents_however_many(spark, monkeypatch):
+    from cohortloom.llm.reading import Grader
+
+    text = "You may have some rest at home. The nurse will help you with your pill. " * 6
+    docs = spark.range(4200).selectExpr("id as doc_id", f"concat('{text}', 'Page ', id, ' of the leaflet ends here.') as text", "'en' as lang", "'x' as reading_level")
+    labels = spark.range(4200).selectExpr("id as doc_id", "1 as grader_id", "cast(1 + id % 2 as int) as reading_level")
+    fitted = []
+    fit = Grader.fit
+    monkeypatch.setattr(Grader, "fit", lambda self, parts, grades: fitted.append(parts.count() if hasattr(parts, "rdd") else len(parts)) or fit(self, parts, grades))
+    assert reading_levels(docs, labels).count() == 4200 and fitted == [4200]
+
+
+def test_pooling_in_parts_is_exact():
+    from cohortloom.llm.reading import MonotoneTier, pooled
+
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(0, 2, 500), 1)
+    y = np.round(rng.random(500) + (x > 0), 3)
+    whole = pooled(x, x, y, np.ones(500))
+    cells = [pooled(x[at], x[at], y[at], np.ones(at.sum())) for c in np.unique(np.floor(x)) if (at := np.floor(x) == c).any()]
+    parts = pooled(*map(np.concatenate, zip(*cells)))
+    ux, n = np.unique(x, return_counts=True)
+    want = isotonic(ux, np.array([y[x == v].mean() for v in ux]), n.astype(float))
+    assert np.allclose(np.interp(ux, *MonotoneTier([whole]).maps[0]), want) and np.allclose(np.interp(ux, *MonotoneTier([parts]).maps[0]), want)
+    assert all(len(c) == 0 for c in pooled(*[np.zeros(0)] * 4))
